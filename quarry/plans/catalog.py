@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from quarry.plans import queries_clean, queries_discretize, queries_profile  # noqa: F401
+from quarry.plans import (  # noqa: F401
+    queries_clean,
+    queries_discretize,
+    queries_model,
+    queries_profile,
+)
 from quarry.plans.registry import ORACLES, QUERIES
 
 
