@@ -5,6 +5,7 @@ from __future__ import annotations
 from quarry.plans import (  # noqa: F401
     queries_clean,
     queries_discretize,
+    queries_learn,
     queries_model,
     queries_profile,
 )

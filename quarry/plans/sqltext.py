@@ -54,7 +54,7 @@ def r6(x: str) -> str:
     return f"round(({x})::DOUBLE, 6)"
 
 
-def split_sql(table: str, key: str, target: str, seed: int = 42) -> str:
+def split_sql(table: str, key: str, target: str, seed: int = 42, prefix: str = "") -> str:
     """DuckDB text of the stratified split (oracle): CTE ``split_rows(<key>, y, split)``."""
     def alloc(name: str, src: str, cnt: str, size: str) -> str:
         return f"""
@@ -65,7 +65,7 @@ def split_sql(table: str, key: str, target: str, seed: int = 42) -> str:
                     row_number() OVER (ORDER BY cont - fl DESC, y) AS rr FROM {name}_a),
 {name} AS (SELECT * EXCLUDE (cont, fl, draws, need, rr),
                   (fl + CASE WHEN rr <= need THEN 1 ELSE 0 END)::BIGINT AS {name}_keep FROM {name}_r)"""
-    return f"""
+    body = f"""
 sp_base AS (SELECT {key}, {target} AS y, md5({key}::VARCHAR || '|{seed}') AS h FROM {table} WHERE {target} IS NOT NULL),
 sp_cc AS (SELECT y, count(*) AS c FROM sp_base GROUP BY y),{alloc('sp1', 'sp_cc', 'c', '0.2')},
 sp1b AS (SELECT y, c, sp1_keep AS temp FROM sp1),{alloc('sp2', 'sp1b', 'temp', '0.25')},
@@ -73,44 +73,49 @@ sp_q AS (SELECT y, c - temp AS n_test, temp - sp2_keep AS n_val FROM sp2),
 sp_rank AS (SELECT b.*, row_number() OVER (PARTITION BY y ORDER BY h) AS r FROM sp_base b),
 split_rows AS (SELECT {key}, r.y, CASE WHEN r <= n_test THEN 'test' WHEN r <= n_test + n_val THEN 'val'
                       ELSE 'train' END AS split FROM sp_rank r JOIN sp_q USING (y))"""
+    if prefix:
+        import re
+        body = re.sub(r"\b(sp_base|sp_cc|sp1_t|sp1_a|sp1_r|sp1b|sp1|sp2_t|sp2_a|sp2_r|sp2|sp_q|sp_rank|split_rows)\b",
+                      lambda m: prefix + m.group(1), body)
+    return body
 
 
-def cm_sql(preds: str, by: list[str]) -> str:
-    """CTEs ``cm`` (completed confusion counts) and ``pc`` (per-class figures) over ``preds(by.., y, pred)``."""
+def cm_sql(preds: str, by: list[str], p: str = "") -> str:
+    """CTEs ``<p>cm`` (completed confusion counts) and ``<p>pc`` (per-class figures) over ``preds(by.., y, pred)``."""
     b = ", ".join(by)
     on = " AND ".join(f"g.{c} = l.{c}" for c in by)
     return f"""
-cm0 AS (SELECT {b}, y AS real, pred AS predicted, count(*) AS n FROM {preds}
+{p}cm0 AS (SELECT {b}, y AS real, pred AS predicted, count(*) AS n FROM {preds}
         WHERE y IS NOT NULL AND pred IS NOT NULL GROUP BY ALL),
-lab AS (SELECT {b}, real AS label FROM cm0 UNION SELECT {b}, predicted AS label FROM cm0),
-cm AS (SELECT l.{by[0]}{''.join(f', l.{c}' for c in by[1:])}, l.label AS real, g.label AS predicted,
+{p}lab AS (SELECT {b}, real AS label FROM {p}cm0 UNION SELECT {b}, predicted AS label FROM {p}cm0),
+{p}cm AS (SELECT {', '.join(f'l.{c}' for c in by)}, l.label AS real, g.label AS predicted,
               coalesce(c.n, 0)::BIGINT AS n
-       FROM lab l JOIN lab g ON {on}
-       LEFT JOIN cm0 c ON {' AND '.join(f'c.{x} = l.{x}' for x in by)} AND c.real = l.label AND c.predicted = g.label),
-rn AS (SELECT {b}, real AS label, sum(n) AS real_n FROM cm GROUP BY ALL),
-pn AS (SELECT {b}, predicted AS label, sum(n) AS pred_n FROM cm GROUP BY ALL),
-tp AS (SELECT {b}, real AS label, sum(n) AS tp FROM cm WHERE real = predicted GROUP BY ALL),
-pc0 AS (SELECT {b}, label, tp, real_n, pred_n, sum(real_n) OVER (PARTITION BY {b}) AS total,
+       FROM {p}lab l JOIN {p}lab g ON {on}
+       LEFT JOIN {p}cm0 c ON {' AND '.join(f'c.{x} = l.{x}' for x in by)} AND c.real = l.label AND c.predicted = g.label),
+{p}rn AS (SELECT {b}, real AS label, sum(n) AS real_n FROM {p}cm GROUP BY ALL),
+{p}pn AS (SELECT {b}, predicted AS label, sum(n) AS pred_n FROM {p}cm GROUP BY ALL),
+{p}tp AS (SELECT {b}, real AS label, sum(n) AS tp FROM {p}cm WHERE real = predicted GROUP BY ALL),
+{p}pc0 AS (SELECT {b}, label, tp, real_n, pred_n, sum(real_n) OVER (PARTITION BY {b}) AS total,
                CASE WHEN pred_n = 0 THEN 0 ELSE tp / pred_n END AS precision,
                CASE WHEN real_n = 0 THEN 0 ELSE tp / real_n END AS recall
-        FROM rn JOIN pn USING ({b}, label) JOIN tp USING ({b}, label)),
-pc AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0
-                      ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM pc0)"""
+        FROM {p}rn JOIN {p}pn USING ({b}, label) JOIN {p}tp USING ({b}, label)),
+{p}pc AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0
+                      ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM {p}pc0)"""
 
 
-def summary_sql(by: list[str]) -> str:
-    """CTE ``summ``: accuracy, weighted F1, balanced accuracy, kappa, MCC per group (needs ``pc``)."""
+def summary_sql(by: list[str], p: str = "") -> str:
+    """CTE ``<p>summ``: accuracy, weighted F1, balanced accuracy, kappa, MCC per group (needs ``<p>pc``)."""
     b = ", ".join(by)
     return f"""
-sm0 AS (SELECT {b}, sum(tp)::DOUBLE AS c, first(total)::DOUBLE AS s, sum(f1 * real_n) AS wf1,
+{p}sm0 AS (SELECT {b}, sum(tp)::DOUBLE AS c, first(total)::DOUBLE AS s, sum(f1 * real_n) AS wf1,
                avg(f1) AS f1_macro, avg(CASE WHEN real_n > 0 THEN recall END) AS balanced_accuracy,
                sum(real_n * pred_n)::DOUBLE AS stp, sum(pred_n * pred_n)::DOUBLE AS spp,
-               sum(real_n * real_n)::DOUBLE AS stt FROM pc GROUP BY ALL),
-summ AS (SELECT {b}, s::BIGINT AS n, c / s AS accuracy, wf1 / s AS f1, f1_macro, balanced_accuracy,
+               sum(real_n * real_n)::DOUBLE AS stt FROM {p}pc GROUP BY ALL),
+{p}summ AS (SELECT {b}, s::BIGINT AS n, c / s AS accuracy, wf1 / s AS f1, f1_macro, balanced_accuracy,
                 CASE WHEN 1 - stp / (s * s) = 0 THEN NULL
                      ELSE (c / s - stp / (s * s)) / (1 - stp / (s * s)) END AS kappa,
                 CASE WHEN (s * s - spp) * (s * s - stt) = 0 THEN 0
-                     ELSE (c * s - stp) / sqrt((s * s - spp) * (s * s - stt)) END AS mcc FROM sm0)"""
+                     ELSE (c * s - stp) / sqrt((s * s - spp) * (s * s - stt)) END AS mcc FROM {p}sm0)"""
 
 
 def auc_sql(preds: str, by: list[str], name: str = "auc") -> str:
