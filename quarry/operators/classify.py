@@ -44,6 +44,7 @@ def train_tree(train: DataFrame, classes: list, max_depth: int = 6, seed: int =
                max_bins: int = 64, features: str = "features", label: str = "label") -> Trained:
     """M1: Gini tree of limited depth."""
     m = DecisionTreeClassifier(maxDepth=max_depth, seed=seed, maxBins=max_bins, impurity="gini",
+                               cacheNodeIds=True, maxMemoryInMB=1024,
                                featuresCol=features, labelCol=label).fit(train.where(F.col(label).isNotNull()))
     return Trained("decision_tree", m, classes)
 
@@ -54,6 +55,7 @@ def train_forest(train: DataFrame, classes: list, num_trees: int = 200, max_dept
     """M2: bootstrap forest with sqrt feature subsets (Spark's deepest tree is 30 levels)."""
     m = RandomForestClassifier(numTrees=num_trees, maxDepth=min(max_depth, 30), seed=seed, maxBins=max_bins,
                                featureSubsetStrategy=subset, bootstrap=True, impurity="gini",
+                               cacheNodeIds=True, maxMemoryInMB=1024,
                                featuresCol=features, labelCol=label).fit(train.where(F.col(label).isNotNull()))
     return Trained("random_forest", m, classes)
 

@@ -33,6 +33,8 @@ def confusion(pred: DataFrame, by: Sequence[str] = ("model",), y: str = "y", p:
     counts = (pred.where(F.col(y).isNotNull() & F.col(p).isNotNull())
               .groupBy(*by, F.col(y).alias("real"), F.col(p).alias("predicted"))
               .agg(F.count(F.lit(1)).alias("n")))
+    # the only pass over the rows; everything after works on this small table
+    counts = order_stats.freeze(counts)
     labels = (counts.select(*by, F.col("real").alias("label"))
               .unionByName(counts.select(*by, F.col("predicted").alias("label"))).distinct()
               .groupBy(*by).agg(F.sort_array(F.collect_list("label")).alias("labels")))
@@ -97,9 +99,10 @@ def _scored(scores: DataFrame, by: list[str], y: str, score: str, positive=None)
     else:
         s = scores
         is_pos = F.col(y) == F.lit(positive)
-    return (s.where(F.col(y).isNotNull() & F.col(score).isNotNull())
-            .groupBy(*by, F.col(score).cast("double").alias("score"))
-            .agg(F.count_if(is_pos).alias("p"), F.count_if(~is_pos).alias("q")))
+    agg = (s.where(F.col(y).isNotNull() & F.col(score).isNotNull())
+           .groupBy(*by, F.col(score).cast("double").alias("score"))
+           .agg(F.count_if(is_pos).alias("p"), F.count_if(~is_pos).alias("q")))
+    return order_stats.freeze(agg)
 
 
 def auc_binary(scores: DataFrame, by: Sequence[str] = ("model",), y: str = "y", score: str = "score",
@@ -114,7 +117,8 @@ def auc_binary(scores: DataFrame, by: Sequence[str] = ("model",), y: str = "y",
     res = cum.groupBy(*by).agg(
         F.sum(F.col("p") * (F.col("cum_q") - F.col("q") + 0.5 * F.col("q"))).alias("_u"),
         F.sum("p").alias("_p"), F.sum("q").alias("_q"))
-    return res.select(*by, F.try_divide(F.col("_u"), F.col("_p") * F.col("_q")).alias("auc"))
+    return res.select(*by, F.try_divide(F.col("_u"), F.col("_p") * F.col("_q")).alias("auc"),
+                      F.col("_p").alias("n_pos"), F.col("_q").alias("n_neg"))
 
 
 def roc_curve(scores: DataFrame, by: Sequence[str] = ("model",), y: str = "y", score: str = "score",
@@ -137,9 +141,7 @@ def auc_ovr_weighted(probs: DataFrame, classes: list, by: Sequence[str] = ("mode
     long = (probs.select(*by, y, F.posexplode(prob).alias("k", "score"))
             .withColumn("_cls", F.element_at(cls, F.col("k") + 1))
             .withColumn("_is", (F.col(y) == F.col("_cls")).cast("int")))
-    per = auc_binary(long, [*by, "k"], "_is", "score", positive=1)
-    prev = long.groupBy(*by, "k").agg(F.sum("_is").alias("_w"), F.count(F.lit(1)).alias("_n"))
-    j = per.join(prev, [*by, "k"])
+    j = auc_binary(long, [*by, "k"], "_is", "score", positive=1).withColumnRenamed("n_pos", "_w")
     return j.groupBy(*by).agg(
         F.try_divide(F.sum(F.col("auc") * F.col("_w")), F.sum(F.when(F.col("auc").isNotNull(), F.col("_w"))))
         .alias("auc"))

@@ -28,6 +28,16 @@ from quarry.session import materialize
 BUCKETS = 4096
 FINAL_LIMIT = 100_000
 BROADCAST_ROWS = 200_000
+SMALL_WINDOW = 1_000_000
+
+
+def freeze(df: DataFrame) -> DataFrame:
+    """Materialize a small state table: rebuilt from its rows when it is small (no file I/O),
+    else a reliable checkpoint."""
+    rows = df.limit(BROADCAST_ROWS + 1).collect()
+    if len(rows) <= BROADCAST_ROWS:
+        return df.sparkSession.createDataFrame(rows, df.schema)
+    return materialize(df)
 
 
 def _join_small(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
@@ -63,7 +73,7 @@ def kth_smallest(data: DataFrame, value: str, requests: DataFrame,
     state = (requests.select(*g, "req", F.col("k").cast("long").alias("_kr"))
              .join(counts, g)
              .where((F.col("_kr") >= 1) & (F.col("_kr") <= F.col("_cnt"))))
-    state = materialize(state)
+    state = freeze(state)
 
     def settled(c_lo="_lo", c_hi="_hi") -> Column:
         done = F.col("_cnt") <= final_limit
@@ -96,7 +106,7 @@ def kth_smallest(data: DataFrame, value: str, requests: DataFrame,
                            F.col("_c").alias("_cnt"), F.col("_bmin").alias("_lo"),
                            F.col("_bmax").alias("_hi")))
         before = active.agg(F.max("_cnt")).first()[0]
-        state = materialize(state.where(settled()).unionByName(refined))
+        state = freeze(state.where(settled()).unionByName(refined))
         after = state.where(~settled()).agg(F.max("_cnt")).first()[0]
         if after is not None and after >= before:
             raise RuntimeError("order statistics cannot refine further (equal keys beyond final_limit)")
@@ -163,9 +173,14 @@ def running_sums(df: DataFrame, partition_cols: Sequence[str], order_col: str,
     distinct scores).  Output adds ``cum_<c>`` for each summed column.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     p = list(partition_cols)
     ocol = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    if df.limit(SMALL_WINDOW + 1).count() <= SMALL_WINDOW:
+        # small input (a table of distinct scores): one window is exact and cheapest
+        w = (Window.partitionBy(*p) if p else Window.partitionBy()).orderBy(ocol).rowsBetween(
+            Window.unboundedPreceding, 0)
+        return df.select(*df.columns, *[F.sum(c).over(w).alias(f"cum_{c}") for c in sum_cols])
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *[F.col(c) for c in p], ocol)
               .withColumn("_pid", F.spark_partition_id()))
     ranged = materialize(ranged)

@@ -35,6 +35,8 @@ def approximate_mode(counts: list[int], n_draws: int) -> list[int]:
     Remainder ties go to the earlier entry (``counts`` is in class order).
     """
     total = sum(counts)
+    if total == 0:
+        return [0 for _ in counts]
     cont = [c / total * n_draws for c in counts]
     floored = [math.floor(x) for x in cont]
     need = int(n_draws - sum(floored))
