@@ -98,6 +98,8 @@ def stratified_split(df: DataFrame, target: str, key_cols: list[str] | None = No
             .agg(F.first(F.struct(F.col("kth").alias("o"), F.col("kth_tie").alias("h")))))
     wide = wide.select("_y", F.col("t.o").alias("_to"), F.col("t.h").alias("_th"),
                        F.col("v.o").alias("_vo"), F.col("v.h").alias("_vh"))
+    # one row per class, computed once: the split itself is then a map-side broadcast join
+    wide = order_stats.freeze(wide)
 
     def upto(o, hh):
         return F.col(o).isNotNull() & ((F.col("_o") < F.col(o)) | ((F.col("_o") == F.col(o)) & (F.col("_h") <= F.col(hh))))

@@ -120,10 +120,17 @@ def q_kmeans_assign(spark, sf):
     return sw.models[sw.best_k].transform(emb(spark, sf)).select("vec_id", F.col("cluster").cast("long"))
 
 
-@register("silhouette_squared")
+@register("silhouette_squared", f"""WITH {EMB_SQL},
+d AS (SELECT a.vec_id AS i, a.label AS ci, b.label AS cj, sum(list_distance(a.v, b.v) ** 2) AS s, count(*) AS n
+      FROM e a, e b GROUP BY ALL),
+own AS (SELECT i, CASE WHEN n > 1 THEN s / (n - 1) END AS a, n FROM d WHERE ci = cj),
+oth AS (SELECT i, min(s / n) AS b FROM d WHERE ci <> cj GROUP BY i),
+sil AS (SELECT CASE WHEN own.n <= 1 OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END AS s
+        FROM own LEFT JOIN oth USING (i))
+SELECT round(avg(s), 6) AS silhouette FROM sil""")
 def q_sil_sq(spark, sf):
     v = K.silhouette_squared(emb(spark, sf), "features", "label")
-    return spark.createDataFrame([(float(v),)], "silhouette double")
+    return spark.createDataFrame([(float(v),)], "silhouette double").select(r6(F.col("silhouette")).alias("silhouette"))
 
 
 def _ward(spark, sf):
@@ -339,7 +346,8 @@ def q_sink(spark, sf):
     return run_and_write([("documents", doc_table(spark, sf))], out, LIGHT)
 
 
-@register("csv_autodetect")
+@register("csv_autodetect", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""")
 def q_csv(spark, sf):
     path = f"{shared_dir(spark).rstrip('/')}/sources/orders_semicolon_csv"
     o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",

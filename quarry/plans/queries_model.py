@@ -171,11 +171,22 @@ def q_one_hot(spark, sf):
                     F.col("v").cast("int").alias("value"))
 
 
-@register("feature_pipeline")
+@register("feature_pipeline", f"""WITH {CUST_SQL},
+nk AS (SELECT quantile_cont(c_nationkey, 0.5) AS m2 FROM cf WHERE split = 'train'),
+nkm AS (SELECT avg(coalesce(c_nationkey, m2)) AS mu2, stddev_pop(coalesce(c_nationkey, m2)) AS sd2
+        FROM cf, nk WHERE split = 'train'),
+cats AS (SELECT list(DISTINCT coalesce(seg, md) ORDER BY coalesce(seg, md)) AS cl FROM cf, mode WHERE split = 'train')
+SELECT c_custkey, split,
+       list_transform([(coalesce(c_nationkey, m2) - mu2) / CASE WHEN sd2 = 0 THEN 1 ELSE sd2 END,
+                       (coalesce(acct, m) - mu) / CASE WHEN sd = 0 THEN 1 ELSE sd END]
+                      || list_transform(cl, lambda x: CASE WHEN x = coalesce(seg, md) THEN 1.0 ELSE 0.0 END),
+                      lambda v: round(v, 6)) AS features
+FROM cf, med, mom, mode, nk, nkm, cats""")
 def q_feature_pipeline(spark, sf):
     cf = customer_features(spark, sf)
     fm = X.fit_features(cf, ["c_nationkey", "acct"], ["seg"])
-    return fm.transform(cf).select("c_custkey", "split", vector_to_array("features").alias("features"))
+    arr = F.transform(vector_to_array("features"), lambda v: F.round(v, 6))
+    return fm.transform(cf).select("c_custkey", "split", arr.alias("features"))
 
 
 @register("baseline_majority", f"""WITH {S.split_sql('orders', 'o_orderkey', 'o_orderstatus')},
