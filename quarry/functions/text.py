@@ -27,6 +27,8 @@ LOAD_NA_TOKENS = [
 # Currency signs, the sol prefix and currency codes removed
 # before parsing a number.
 CURRENCY_SIGNS = "[$€¥£]"
+CURRENCY_CHARS = "$€¥£"
+LETTER_RE = "[A-Za-z]"
 SOL_PREFIX = "(?i)S/\\.?"
 CURRENCY_CODES = "(?i)USD|PEN|EUR|GBP"
 
@@ -35,9 +37,13 @@ NUMBER_RE = "^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$"
 THOUSANDS_RE = "^[^,]*,[0-9]{3}$"
 
 
+# Python's whitespace (what str.strip() removes), built from Python's own definition.
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def strip(c: Column) -> Column:
-    """Remove leading and trailing whitespace of every kind (not only spaces)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Remove leading and trailing whitespace of every kind (not only spaces), like str.strip()."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def null_if_marker(c: Column, markers: list[str] | None = None) -> Column:
@@ -59,11 +65,17 @@ EU_DECIMAL_RE = "\\..*,[^.]*$"
 
 
 def number_core(c: Column) -> Column:
-    """First half of the parser: trimmed text without percent sign, currency and codes."""
-    s1 = strip(F.regexp_replace(strip(c.cast("string")), "%$", ""))
-    s2 = F.regexp_replace(s1, CURRENCY_SIGNS, "")
-    s3 = F.regexp_replace(s2, SOL_PREFIX, "")
-    return strip(F.regexp_replace(s3, CURRENCY_CODES, ""))
+    """First half of the parser: trimmed text without percent sign, currency and codes.
+
+    Cheap character operations do most of the work; the two case-insensitive
+    patterns run only on text that can contain them.
+    """
+    s0 = strip(c.cast("string"))
+    s1 = F.when(s0.endswith("%"), strip(s0.substr(F.lit(1), F.length(s0) - 1))).otherwise(s0)
+    s2 = F.translate(s1, CURRENCY_CHARS, "")
+    s3 = F.when(s2.contains("/"), F.regexp_replace(s2, SOL_PREFIX, "")).otherwise(s2)
+    s4 = F.when(s3.rlike(LETTER_RE), F.regexp_replace(s3, CURRENCY_CODES, "")).otherwise(s3)
+    return strip(s4)
 
 
 def number_finish(s: Column) -> Column:
@@ -73,10 +85,12 @@ def number_finish(s: Column) -> Column:
     dot, or when commas stand alone and are not "one comma + three digits"
     (a thousands mark).  Otherwise commas are thousands marks and go away.
     """
-    comma_decimal = s.rlike(EU_DECIMAL_RE) | (
-        ~s.contains(".") & s.contains(",") & ~s.rlike(THOUSANDS_RE))
-    norm = F.when(comma_decimal, F.regexp_replace(F.regexp_replace(s, "\\.", ""), ",", ".")) \
-        .otherwise(F.regexp_replace(s, ",", ""))
+    has_c = s.contains(",")
+    has_p = s.contains(".")
+    comma_decimal = (F.when(has_c & has_p, s.rlike(EU_DECIMAL_RE))
+                     .when(has_c, ~s.rlike(THOUSANDS_RE)).otherwise(F.lit(False)))
+    norm = (F.when(comma_decimal, F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
+            .when(has_c, F.replace(s, F.lit(","), F.lit(""))).otherwise(s))
     return (F.when((s == "") | (s == "-"), F.lit(None).cast("double"))
             .when(norm.rlike(NUMBER_RE), norm.try_cast("double")))
 

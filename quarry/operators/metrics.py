@@ -127,10 +127,16 @@ def roc_curve(scores: DataFrame, by: Sequence[str] = ("model",), y: str = "y", s
     by = list(by)
     agg = _scored(scores, by, y, score, positive)
     cum = order_stats.running_sums(agg, by, "score", ["p", "q"], descending=True)
-    w = Window.partitionBy(*by) if by else Window.partitionBy()
+    if by:
+        # totals per group: one small aggregate, joined back (bounded by the number of groups)
+        tot = agg.groupBy(*by).agg(F.sum("p").alias("_P"), F.sum("q").alias("_N"))
+        cum = cum.join(F.broadcast(tot), by)
+    else:
+        P, N = agg.agg(F.sum("p"), F.sum("q")).first()
+        cum = cum.withColumn("_P", F.lit(P)).withColumn("_N", F.lit(N))
     return cum.select(*by, F.col("score").alias("threshold"),
-                      F.try_divide(F.col("cum_q").cast("double"), F.sum("q").over(w)).alias("fpr"),
-                      F.try_divide(F.col("cum_p").cast("double"), F.sum("p").over(w)).alias("tpr"))
+                      F.try_divide(F.col("cum_q").cast("double"), F.col("_N")).alias("fpr"),
+                      F.try_divide(F.col("cum_p").cast("double"), F.col("_P")).alias("tpr"))
 
 
 def auc_ovr_weighted(probs: DataFrame, classes: list, by: Sequence[str] = ("model",), y: str = "y",

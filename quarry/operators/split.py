@@ -70,7 +70,9 @@ def stratified_split(df: DataFrame, target: str, key_cols: list[str] | None = No
     spark = df.sparkSession
     keys = key_cols or [c for c in df.columns]
     base = df.where(q(target).isNotNull())
-    allcounts = df.groupBy(q(target).alias("_y")).agg(F.count(F.lit(1)).alias("_n")).orderBy("_y").collect()
+    allcounts = (df.groupBy(q(target).alias("_y")).agg(F.count(F.lit(1)).alias("_n"))
+                 .limit(MAX_CLASSES + 2).collect())
+    allcounts = sorted(allcounts, key=lambda r: (r["_y"] is not None, r["_y"]))
     counts = [r for r in allcounts if r["_y"] is not None]
     dropped = sum(int(r["_n"]) for r in allcounts if r["_y"] is None)
     if len(counts) > MAX_CLASSES:

@@ -7,7 +7,7 @@ so the driver can check the results row for row; nothing here runs on Spark.
 from __future__ import annotations
 
 from quarry.functions.numeric import bin_labels
-from quarry.functions.text import LOAD_NA_TOKENS, NULL_MARKERS
+from quarry.functions.text import LOAD_NA_TOKENS, NULL_MARKERS, WHITESPACE
 
 
 def lit_list(values: list[str]) -> str:
@@ -15,7 +15,7 @@ def lit_list(values: list[str]) -> str:
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"trim({x}, '{WHITESPACE}')"
 
 
 def clean_text(x: str) -> str:
