@@ -28,14 +28,19 @@ from quarry.session import materialize
 BUCKETS = 4096
 FINAL_LIMIT = 100_000
 BROADCAST_ROWS = 200_000
+FREEZE_ROWS = 10_000
 SMALL_WINDOW = 1_000_000
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Materialize a small state table: rebuilt from its rows when it is small (no file I/O),
-    else a reliable checkpoint."""
-    rows = df.limit(BROADCAST_ROWS + 1).collect()
-    if len(rows) <= BROADCAST_ROWS:
+    """Materialize a summary table once.
+
+    Up to ``FREEZE_ROWS`` rows (class counts, cut points, confusion cells) it is
+    rebuilt from its rows, which avoids file I/O; anything larger is written as
+    a reliable checkpoint and never passes through the driver.
+    """
+    rows = df.limit(FREEZE_ROWS + 1).collect()
+    if len(rows) <= FREEZE_ROWS:
         return df.sparkSession.createDataFrame(rows, df.schema)
     return materialize(df)
 
