@@ -59,11 +59,10 @@ def _best_k_sql() -> str:
 @register("best_k", _best_k_sql())
 def q_best_k(spark, sf):
     e = emb(spark, sf)
-    rows = []
     for k in range(2, 7):
-        s = K.silhouette_euclidean(e.withColumn("grp", F.col("label") % k), "features", "grp", ["vec_id"]).first()
-        rows.append((k, s["silhouette"]))
-    t = spark.createDataFrame(rows, "k int, silhouette double").select("k", r6(F.col("silhouette")).alias("silhouette"))
+        e = e.withColumn(f"g{k}", F.col("label") % k)
+    s = K.silhouettes(e, {k: f"g{k}" for k in range(2, 7)}, "features", ["vec_id"])
+    t = s.select(F.col("name").cast("int").alias("k"), r6(F.col("silhouette")).alias("silhouette"))
     return K.best_k_table(t)
 
 

@@ -8,6 +8,10 @@ in ``RunResult.tables``; ``write_results`` stores them under one folder.
 
 from __future__ import annotations
 
+import os
+import sys
+import time
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -63,23 +67,34 @@ class RunResult:
         return self.tables["cluster_summary"]
 
 
+@contextmanager
+def _phase(name: str):
+    """Wall time per phase on stderr when QUARRY_TIMING is set."""
+    t0 = time.perf_counter()
+    yield
+    if os.environ.get("QUARRY_TIMING"):
+        print(f"[quarry] {name}: {time.perf_counter() - t0:.2f}s", file=sys.stderr, flush=True)
+
+
 def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None = None) -> RunResult:
     p = params or RunParams()
     spark = df.sparkSession
     t: dict[str, DataFrame] = {}
 
     # 1. cleaning (one audit aggregate, one projection + dedupe)
-    if p.clean:
-        cr = clean_table(df)
-        data = cr.table
-        t["cleaning_audit"] = cr.audit
-    else:
-        data = df
+    with _phase("clean"):
+        if p.clean:
+            cr = clean_table(df)
+            data = cr.table
+            t["cleaning_audit"] = cr.audit
+        else:
+            data = df
     t["column_summary"] = column_summary(data)
 
     # 2. target, 3. discretization
     target = detect_target(data, p.target)
-    d = discretize_target(data, target, p.method, p.n_bins)
+    with _phase("discretize"):
+        d = discretize_target(data, target, p.method, p.n_bins)
     data, target = d.table, d.target
     if d.edges is not None:
         t["bin_edges"] = spark.createDataFrame([(i, float(e)) for i, e in enumerate(d.edges)], "idx int, edge double")
@@ -90,17 +105,19 @@ def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None
     t["target_distribution"] = P.target_distribution(data, target)
 
     # 5. split
-    sp = stratified_split(data, target, p.key_cols, p.seed)
+    with _phase("split"):
+        sp = stratified_split(data, target, p.key_cols, p.seed)
     data = sp.table
     t["split_sizes"] = sp.sizes
 
     # 6. features, fitted on train only, materialized once for all consumers
     num, cat = classify_columns(data.drop("split"), target)
-    fm = X.fit_features(data, num, cat)
-    t["feature_names"] = X.feature_names(fm)
-    classes = C.class_labels(data, target)
-    feats = C.with_label(fm.transform(data), target, classes)
-    feats = materialize(feats.select(*[q(c) for c in data.columns], "features", "label"))
+    with _phase("features"):
+        fm = X.fit_features(data, num, cat)
+        t["feature_names"] = X.feature_names(fm)
+        classes = C.class_labels(data, target)
+        feats = C.with_label(fm.transform(data), target, classes)
+        feats = materialize(feats.select(*[q(c) for c in data.columns], "features", "label"))
     train = feats.where(F.col("split") == "train")
 
     # 7. baseline
@@ -110,8 +127,10 @@ def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None
     # 8. clustering on the train rows
     n_train = train.count()
     if n_train - 1 >= p.k_min:
-        sweep = K.kmeans_sweep(train, "features", p.k_min, p.k_max, p.n_init, p.seed, p.key_cols, p.sample)
-        ward = K.ward_clusters(train, "features", p.k_min, p.k_max, p.micro, p.seed, p.key_cols, p.sample)
+        with _phase("kmeans"):
+            sweep = K.kmeans_sweep(train, "features", p.k_min, p.k_max, p.n_init, p.seed, p.key_cols, p.sample)
+        with _phase("ward"):
+            ward = K.ward_clusters(train, "features", p.k_min, p.k_max, p.micro, p.seed, p.key_cols, p.sample)
         t["kmeans_sweep"] = sweep.table
         t["ward_sweep"] = ward.table
         t["linkage"] = ward.linkage
@@ -124,14 +143,17 @@ def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None
     t["cluster_summary"] = K.cluster_summary(spark, sweep, ward)
 
     # 9. models
-    tree = C.train_tree(train, classes, p.tree_depth, p.seed, p.max_bins)
-    forest = C.train_forest(train, classes, p.num_trees, p.forest_depth, p.seed, p.max_bins)
+    with _phase("tree"):
+        tree = C.train_tree(train, classes, p.tree_depth, p.seed, p.max_bins)
+    with _phase("forest"):
+        forest = C.train_forest(train, classes, p.num_trees, p.forest_depth, p.seed, p.max_bins)
     evalrows = feats.where(F.col("split") != "train")
     preds = None
     for order, model in ((1, tree), (2, forest)):
         pr = C.predict(model, evalrows, target, ["split"]).withColumn("ord", F.lit(order))
         preds = pr if preds is None else preds.unionByName(pr)
-    preds = materialize(preds)
+    with _phase("predict"):
+        preds = materialize(preds)
     t["feature_importance"] = C.feature_importance(forest, fm.names, 15)
 
     # 10. evaluation
