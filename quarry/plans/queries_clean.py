@@ -57,9 +57,9 @@ def q_null_markers(spark, sf):
 
 
 def _audit_sql() -> str:
-    parts = [f"SELECT {i} AS pos, '{c}' AS \"column\", count_if({c} IS NULL) AS nulls_before, "
-             f"count_if({S.clean_text(c)} IS NULL) AS nulls_total, "
-             f"count_if({S.clean_text(c)} IS NULL) - count_if({c} IS NULL) AS markers_replaced "
+    parts = [f"SELECT {i} AS pos, '{c}' AS \"column\", count_if({c} IS NULL)::BIGINT AS nulls_before, "
+             f"count_if({S.clean_text(c)} IS NULL)::BIGINT AS nulls_total, "
+             f"(count_if({S.clean_text(c)} IS NULL) - count_if({c} IS NULL))::BIGINT AS markers_replaced "
              f"FROM dirty_orders" for i, c in enumerate(DIRTY_COLS)]
     return f"{W}\n" + _union(parts)
 
@@ -147,7 +147,7 @@ def _cleaned_sql() -> str:
 
 
 @register("cleaning_audit", f"""{W}, r AS ({_rates_sql(AUDIT_COLS)}),
-m AS ({_union([f"SELECT '{c}' AS \"column\", count_if({S.clean_text(c)} IS NULL) AS n FROM dirty_orders" for c in AUDIT_COLS])}),
+m AS ({_union([f"SELECT '{c}' AS \"column\", count_if({S.clean_text(c)} IS NULL)::BIGINT AS n FROM dirty_orders" for c in AUDIT_COLS])}),
 d AS (SELECT (SELECT count(*) FROM dirty_orders) - (SELECT count(*) FROM ({_cleaned_sql()})) AS n)
 SELECT "column", 'null_markers' AS change, n, NULL::DOUBLE AS rate FROM m WHERE n > 0
 UNION ALL

@@ -29,7 +29,7 @@ def _summary_sql() -> str:
     for i, c in enumerate(ALL_DIRTY):
         x = c if c == "o_orderkey" else S.clean_text(c)
         t = "bigint" if c == "o_orderkey" else "string"
-        parts.append(f"SELECT {i} AS pos, '{c}' AS \"column\", '{t}' AS type, count_if({x} IS NULL) AS nulls, "
+        parts.append(f"SELECT {i} AS pos, '{c}' AS \"column\", '{t}' AS type, count_if({x} IS NULL)::BIGINT AS nulls, "
                      f"round_even(count_if({x} IS NULL) * 100.0 / count(*), 1)::DOUBLE AS pct_nulls FROM dirty_orders")
     return f"{W}\n" + _union(parts)
 
@@ -64,7 +64,7 @@ def _nulls_sql() -> str:
     parts = []
     for i, c in enumerate(ALL_DIRTY):
         x = c if c == "o_orderkey" else S.clean_text(c)
-        parts.append(f"SELECT {i} AS pos, '{c}' AS \"column\", count_if({x} IS NULL) AS nulls FROM dirty_orders")
+        parts.append(f"SELECT {i} AS pos, '{c}' AS \"column\", count_if({x} IS NULL)::BIGINT AS nulls FROM dirty_orders")
     return f"{W}, t AS ({_union(parts)})\nSELECT * FROM t WHERE nulls > 0"
 
 
@@ -131,7 +131,7 @@ f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q
 SELECT grp, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(iqr, 6) AS iqr,
        min(CASE WHEN l_extendedprice >= lo_f THEN l_extendedprice END) AS whisker_lo,
        max(CASE WHEN l_extendedprice <= hi_f THEN l_extendedprice END) AS whisker_hi,
-       count_if(l_extendedprice < lo_f OR l_extendedprice > hi_f) AS n_outliers, count(*) AS n
+       count_if(l_extendedprice < lo_f OR l_extendedprice > hi_f)::BIGINT AS n_outliers, count(*) AS n
 FROM lineitem JOIN f ON l_returnflag = grp GROUP BY grp, q1, median, q3, iqr""")
 def q_boxplot(spark, sf):
     b = profile.boxplot_by_group(read_table(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice")
