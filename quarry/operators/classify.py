@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.schema import q
 
-MAX_CLASSES = 10_000
+MAX_CLASSES = 1_000
 
 
 def class_labels(df: DataFrame, target: str) -> list:

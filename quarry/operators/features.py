@@ -26,6 +26,9 @@ from quarry.operators.profile import long_numeric
 from quarry.operators.schema import q
 
 
+MAX_CATEGORIES = 100_000
+
+
 def _sql_lit(v) -> str:
     if v is None:
         return "NULL"
@@ -83,8 +86,14 @@ def train_modes(train: DataFrame, cols: list[str]) -> dict[str, str | None]:
     long = train.select(F.explode(stack).alias("s")).select("s.*").where(F.col("value").isNotNull())
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy("column").agg(
-        F.min_by("value", F.struct((-F.col("n")).alias("nn"), F.col("value").alias("v"))).alias("mode"))
-    got = {r["column"]: r["mode"] for r in best.collect()}
+        F.min_by("value", F.struct((-F.col("n")).alias("nn"), F.col("value").alias("v"))).alias("mode"),
+        F.count(F.lit(1)).alias("n_values")).collect()
+    wide = [(r["column"], r["n_values"]) for r in best if r["n_values"] > MAX_CATEGORIES]
+    if wide:
+        # one 0/1 slot per category: the category list itself would have to pass the driver
+        raise ValueError(f"categorical columns with more than {MAX_CATEGORIES} train values cannot be "
+                         f"one-hot encoded; drop or hash them first: {wide}")
+    got = {r["column"]: r["mode"] for r in best}
     return {c: got.get(c) for c in cols}
 
 

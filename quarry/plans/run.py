@@ -112,6 +112,13 @@ def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None
 
     # 6. features, fitted on train only, materialized once for all consumers
     num, cat = classify_columns(data.drop("split"), target)
+    if cat:
+        # free text / identifiers cannot become one-hot slots at scale: left out and listed
+        card = data.where(F.col("split") == "train").agg(
+            *[F.approx_count_distinct(q(c)).alias(f"d{i}") for i, c in enumerate(cat)]).first()
+        wide = [(c, int(card[f"d{i}"])) for i, c in enumerate(cat) if card[f"d{i}"] > X.MAX_CATEGORIES * 0.9]
+        cat = [c for c in cat if c not in {w[0] for w in wide}]
+        t["excluded_features"] = spark.createDataFrame(wide, "column string, approx_distinct bigint")
     with _phase("features"):
         fm = X.fit_features(data, num, cat)
         t["feature_names"] = X.feature_names(fm)
