@@ -214,11 +214,15 @@ def compare_runs(a: RunResult, b: RunResult) -> dict[str, DataFrame]:
     }
 
 
-def run_and_write(dfs: list[tuple[str, DataFrame]], out_dir: str, params: RunParams | None = None,
-                  fmt: str = "parquet") -> DataFrame:
-    """S8 + S6: one or two tables, results under ``<out>/dataset_1``, ``dataset_2``, ``comparison``."""
+def run_and_write(dfs: list[tuple[str, DataFrame]], out_dir: str,
+                  params: RunParams | list[RunParams] | None = None, fmt: str = "parquet") -> DataFrame:
+    """S8 + S6: one or two tables, results under ``<out>/dataset_1``, ``dataset_2``, ``comparison``.
+
+    ``params`` is one setting for all tables or one per table (e.g. their own targets).
+    """
     spark = dfs[0][1].sparkSession
-    runs = [run_analysis(df, name, params) for name, df in dfs]
+    plist = params if isinstance(params, list) else [params] * len(dfs)
+    runs = [run_analysis(df, name, p) for (name, df), p in zip(dfs, plist)]
     listing = None
     for i, r in enumerate(runs, start=1):
         part = write_results(spark, r.tables, f"{out_dir.rstrip('/')}/dataset_{i}", fmt)
