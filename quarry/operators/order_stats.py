@@ -55,13 +55,16 @@ def _join_small(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
 
 def kth_smallest(data: DataFrame, value: str, requests: DataFrame,
                  group_cols: Sequence[str] = (), tie: str | None = None,
-                 buckets: int = BUCKETS, final_limit: int = FINAL_LIMIT) -> DataFrame:
+                 buckets: int = BUCKETS, final_limit: int = FINAL_LIMIT,
+                 stats: DataFrame | None = None) -> DataFrame:
     """k-th smallest ``value`` per group, exactly.
 
     ``requests`` has the group columns, ``req`` (any id) and ``k`` (1-based).
     Returns the group columns, ``req`` and ``kth`` (plus ``kth_tie`` when a
     tie-break column is given; order is then ``(value, tie)``).
-    Requests with k outside 1..n are dropped.
+    Requests with k outside 1..n are dropped.  ``stats`` (group columns,
+    ``_cnt``, ``_lo``, ``_hi`` = count, min, max of the non-null values) saves
+    the first scan when the caller already has it.
     """
     g = list(group_cols)
     if not g:
@@ -73,8 +76,10 @@ def kth_smallest(data: DataFrame, value: str, requests: DataFrame,
         cols.append(F.col(tie).alias("_t"))
     d = data.select(*cols).where(F.col("_v").isNotNull())
 
-    counts = d.groupBy(*g).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_v").alias("_lo"),
-                               F.max("_v").alias("_hi"))
+    if stats is not None:
+        counts = stats if group_cols else stats.withColumn("_g", F.lit(0))
+    else:
+        counts = group_stats(d, g, "_v")
     state = (requests.select(*g, "req", F.col("k").cast("long").alias("_kr"))
              .join(counts, g)
              .where((F.col("_kr") >= 1) & (F.col("_kr") <= F.col("_cnt"))))
@@ -140,6 +145,12 @@ def kth_smallest(data: DataFrame, value: str, requests: DataFrame,
     return result
 
 
+def group_stats(data: DataFrame, group_cols: Sequence[str], value: str) -> DataFrame:
+    """Count, min and max of the non-null ``value`` per group (``_cnt``, ``_lo``, ``_hi``)."""
+    return (data.where(F.col(value).isNotNull()).groupBy(*group_cols)
+            .agg(F.count(F.lit(1)).alias("_cnt"), F.min(value).alias("_lo"), F.max(value).alias("_hi")))
+
+
 def quantiles(data: DataFrame, value: str, probs: Sequence[float],
               group_cols: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolated quantiles (numpy 'linear', DuckDB ``quantile_cont``).
@@ -148,7 +159,8 @@ def quantiles(data: DataFrame, value: str, probs: Sequence[float],
     """
     g = list(group_cols)
     base = data.select(*g, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    counts = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    stats = freeze(group_stats(base, g, "_x"))
+    counts = stats.select(*g, F.col("_cnt").alias("_n"))
     probs_col = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(float(p)).alias("prob"))
                           for i, p in enumerate(probs)])
     req = (counts.select(*g, "_n", F.explode(probs_col).alias("_pp"))
@@ -159,7 +171,7 @@ def quantiles(data: DataFrame, value: str, probs: Sequence[float],
     asks = req.select(*g, F.col("_k0").alias("k")).unionByName(
         req.select(*g, F.least(F.col("_k0") + 1, F.col("_n")).alias("k"))).distinct()
     asks = asks.withColumn("req", F.col("k"))
-    kth = kth_smallest(base, "_x", asks, g)
+    kth = kth_smallest(base, "_x", asks, g, stats=stats)
     lo = kth.select(*g, F.col("req").alias("_k0"), F.col("kth").alias("_a"))
     hi = kth.select(*g, F.col("req").alias("_k1"), F.col("kth").alias("_b"))
     out = (req.withColumn("_k1", F.least(F.col("_k0") + 1, F.col("_n")))

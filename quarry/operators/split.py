@@ -70,7 +70,14 @@ def stratified_split(df: DataFrame, target: str, key_cols: list[str] | None = No
     spark = df.sparkSession
     keys = key_cols or [c for c in df.columns]
     base = df.where(q(target).isNotNull())
-    allcounts = (df.groupBy(q(target).alias("_y")).agg(F.count(F.lit(1)).alias("_n"))
+    h = row_hash(keys, seed)
+    hashed = (base.withColumn("_h", h)
+              .withColumn("_o", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long"))
+              .withColumn("_y", q(target)))
+    # one pass: class sizes (with the NULL class) and the hash range of each class
+    allcounts = (df.withColumn("_o", F.conv(F.substring(h, 1, 15), 16, 10).cast("long"))
+                 .groupBy(q(target).alias("_y"))
+                 .agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
                  .limit(MAX_CLASSES + 2).collect())
     allcounts = sorted(allcounts, key=lambda r: (r["_y"] is not None, r["_y"]))
     counts = [r for r in allcounts if r["_y"] is not None]
@@ -91,11 +98,10 @@ def stratified_split(df: DataFrame, target: str, key_cols: list[str] | None = No
             asks.append((y, "v", t + v))
     req = spark.createDataFrame(asks, T.StructType([T.StructField("_y", ttype), T.StructField("req", T.StringType()),
                                                     T.StructField("k", T.LongType())]))
-    h = row_hash(keys, seed)
-    hashed = (base.withColumn("_h", h)
-              .withColumn("_o", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long"))
-              .withColumn("_y", q(target)))
-    cuts = order_stats.kth_smallest(hashed.select("_y", "_o", "_h"), "_o", req, ["_y"], tie="_h")
+    stats = spark.createDataFrame([(r["_y"], int(r["_n"]), r["_lo"], r["_hi"]) for r in counts],
+                                  T.StructType([T.StructField("_y", ttype), T.StructField("_cnt", T.LongType()),
+                                                T.StructField("_lo", T.LongType()), T.StructField("_hi", T.LongType())]))
+    cuts = order_stats.kth_smallest(hashed.select("_y", "_o", "_h"), "_o", req, ["_y"], tie="_h", stats=stats)
     wide = (cuts.groupBy("_y").pivot("req", ["t", "v"])
             .agg(F.first(F.struct(F.col("kth").alias("o"), F.col("kth_tie").alias("h")))))
     wide = wide.select("_y", F.col("t.o").alias("_to"), F.col("t.h").alias("_th"),
