@@ -16,9 +16,6 @@ from quarry.functions.text import clean_text, number_core, number_finish, strip
 from quarry.operators.schema import q
 from quarry.session import materialize
 
-AUDIT_SCHEMA = "column string, change string, n bigint, rate double"
-
-
 def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
 

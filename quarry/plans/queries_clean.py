@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import r6
-from quarry.functions.text import clean_text
 from quarry.operators import clean
 from quarry.plans import sqltext as S
 from quarry.plans.derived import DIRTY_COLS, DIRTY_ORDERS_SQL, dirty_orders
@@ -165,5 +164,3 @@ def q_cleaning_audit(spark, sf):
 def q_clean_table(spark, sf):
     return clean.clean_table(dirty_orders(spark, sf).select(*AUDIT_COLS)).table
 
-
-__all__ = ["clean_text"]

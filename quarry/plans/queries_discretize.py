@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions.numeric import bin_labels, r6
 from quarry.operators import discretize as D
 from quarry.plans import sqltext as S
 from quarry.plans.registry import register
@@ -149,5 +148,3 @@ def q_bin_edges(spark, sf):
     ue = D.edges_table(e, D.uniform_edges(e, "value", 3)).select(F.lit("uniform").alias("method"), "*")
     return qe.unionByName(ue).select("method", F.col("idx").cast("long").alias("idx"), "edge")
 
-
-__all__ = ["bin_labels", "r6"]

@@ -74,3 +74,20 @@ def test_too_small_for_clustering(spark):
     df = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0, 0.0])], "id long, v array<double>")
     sw = K.kmeans_sweep(K.embeddings_features(df, "v"), "features", 2, 6, n_init=1, key_cols=["id"])
     assert sw.best_k is None and sw.table.count() == 0
+
+
+def test_comparison_with_skipped_clustering(spark):
+    from quarry.operators import compare as Q
+    a = spark.createDataFrame([(0.4431, 2, 0.4428, 2)], "kmeans_silhouette double, kmeans_k int, "
+                                                       "ward_silhouette double, ward_k int")
+    b = spark.createDataFrame([(None, None, None, None)], "kmeans_silhouette double, kmeans_k int, "
+                                                        "ward_silhouette double, ward_k int")
+    rows = {r["metric"]: (r["value_a"], r["value_b"]) for r in Q.compare_clustering(a, b).collect()}
+    assert rows["kmeans_silhouette"] == (0.4431, None) and rows["ward_k"] == (2.0, None)
+    assert Q.compare_silhouette(a, b).first()["winner"] == "B"
+    t = spark.createDataFrame([("A", "tree", 1, 0.8, 0.7, None), ("B", "tree", 1, 0.9, 0.6, 0.7)],
+                              "dataset string, model string, ord int, accuracy double, f1 double, auc double")
+    d = Q.metric_deltas(t).first()
+    assert d["auc_delta"] is None and d["accuracy_pp"] == pytest.approx(10.0) and d["f1_delta"] == pytest.approx(-0.1)
+    m = {(r["metric"], r["dataset"]): r["value"] for r in Q.metric_matrix(t).collect()}
+    assert m[("auc", "A")] == 0.0
