@@ -112,3 +112,29 @@ def test_split_sizes_sum():
     for counts in ([1], [1, 1], [5, 0, 7], [100, 3, 1], [33, 33, 34]):
         sizes = split_sizes([c for c in counts if c > 0])
         assert [sum(s) for s in sizes] == [c for c in counts if c > 0]
+
+
+def test_silhouette_sparse_vectors_match_brute_force(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rng = np.random.default_rng(9)
+    n, d = 120, 40
+    dense = np.zeros((n, d))
+    rows = []
+    for i in range(n):
+        cols = rng.choice(d, 3, replace=False)
+        dense[i, cols] = rng.normal(0, 1, 3) + (i % 3)
+        v = Vectors.sparse(d, sorted(cols.tolist()), dense[i, sorted(cols.tolist())].tolist()) if i % 2 else \
+            Vectors.dense(dense[i].tolist())
+        rows.append((i, v, int(i % 3)))
+    df = spark.createDataFrame(rows, ["id", "features", "c"])
+    got = K.silhouette_euclidean(df, "features", "c", ["id"]).first()["silhouette"]
+    D = np.sqrt(((dense[:, None, :] - dense[None, :, :]) ** 2).sum(-1))
+    lab = np.array([i % 3 for i in range(n)])
+    s = []
+    for i in range(n):
+        own = (lab == lab[i]) & (np.arange(n) != i)
+        a = D[i, own].mean()
+        b = min(D[i, lab == c].mean() for c in set(lab.tolist()) if c != lab[i])
+        s.append((b - a) / max(a, b))
+    assert got == pytest.approx(np.mean(s), abs=1e-8)
