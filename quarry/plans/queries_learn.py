@@ -11,7 +11,7 @@ from quarry.operators import cluster as K
 from quarry.operators import compare as Q
 from quarry.operators import features as X
 from quarry.plans import sqltext as S
-from quarry.plans.queries_model import doc_preds, docs_labeled
+from quarry.plans.queries_model import doc_features, doc_preds
 from quarry.plans.registry import register
 from quarry.plans.run import RunParams, run_analysis, run_and_write
 from quarry.session import read_table, shared_dir
@@ -160,10 +160,9 @@ def q_cluster_summary(spark, sf):
 
 
 def _doc_models(spark, sf, forest_too=True, num_trees=200, depth=30):
-    d = read_table(spark, sf, "documents").select("doc_id", "lang", "source", "text", "n_chars")
     lab = read_table(spark, sf, "labels").select("doc_id", "quality")
-    n_lines = F.length("text") - F.length(F.regexp_replace("text", "\n", ""))
-    t = d.join(lab, "doc_id").select("doc_id", "lang", "source", "n_chars", n_lines.alias("n_lines"), "quality")
+    t = doc_features(spark, sf, ("lang", "source")).join(lab, "doc_id").select(
+        "doc_id", "lang", "source", "n_chars", "n_lines", "quality")
     s = stratified_split(t, "quality", ["doc_id"]).table
     fm = X.fit_features(s, ["n_chars", "n_lines"], ["lang", "source"])
     classes = C.class_labels(s, "quality")
@@ -206,11 +205,10 @@ def q_class_prob(spark, sf):
 
 
 def _lang_table(spark, sf, english: bool):
-    dl = docs_labeled(spark, sf)
-    lang = read_table(spark, sf, "documents").select("doc_id", "lang")
-    dl = dl.join(lang, "doc_id")
+    lab = read_table(spark, sf, "labels").select("doc_id", F.col("quality").alias("y"))
+    dl = doc_features(spark, sf, ("lang",)).join(lab, "doc_id")
     dl = dl.where(F.col("lang") == "en") if english else dl.where(F.col("lang") != "en")
-    s = stratified_split(dl.drop("lang"), "y", ["doc_id"]).table
+    s = stratified_split(dl.select("doc_id", "y", "n_chars", "n_lines"), "y", ["doc_id"]).table
     p = doc_preds(s).where(F.col("split") != "train")
     base = X.baseline_majority(s, "y").select(F.lit("baseline").alias("model"), F.lit(0).alias("ord"),
                                               F.lit("val").alias("split"), "y", "pred")
@@ -325,10 +323,9 @@ def q_compare_silhouette(spark, sf):
 
 
 def doc_table(spark, sf):
-    d = read_table(spark, sf, "documents").select("doc_id", "lang", "source", "text", "n_chars")
     lab = read_table(spark, sf, "labels").select("doc_id", "quality")
-    n_lines = F.length("text") - F.length(F.regexp_replace("text", "\n", ""))
-    return d.join(lab, "doc_id").select("lang", "source", "n_chars", n_lines.alias("n_lines"), "quality")
+    return doc_features(spark, sf, ("lang", "source")).join(lab, "doc_id").select(
+        "lang", "source", "n_chars", "n_lines", "quality")
 
 
 LIGHT = RunParams(target="quality", n_init=2, num_trees=50, forest_depth=12)

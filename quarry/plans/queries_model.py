@@ -23,23 +23,35 @@ from quarry.session import read_table
 # --------------------------------------------------------------------------- derived inputs
 
 
+def doc_features(spark, sf, extra: tuple[str, ...] = ()):
+    """Per-document numbers, computed on the scan of ``documents`` (whole texts) before any
+    join, so the texts themselves never cross a shuffle."""
+    n_lines = F.length("text") - F.length(F.regexp_replace("text", "\n", ""))
+    return read_table(spark, sf, "documents").select("doc_id", *extra, "n_chars", n_lines.alias("n_lines"))
+
+
 def docs_labeled(spark, sf):
-    d = read_table(spark, sf, "documents").select("doc_id", "text", "n_chars")
     lab = read_table(spark, sf, "labels").select("doc_id", F.col("quality").alias("y"))
-    n_lines = F.length("text") - F.length(F.regexp_replace("text", "\n", ""))
-    return d.join(lab, "doc_id").select("doc_id", "y", "n_chars", n_lines.alias("n_lines"))
+    return doc_features(spark, sf).join(lab, "doc_id").select("doc_id", "y", "n_chars", "n_lines")
 
 
 def docs_split(spark, sf):
     return stratified_split(docs_labeled(spark, sf), "y", ["doc_id"]).table
 
 
+def _per_model(df, keep: list[str], models: list[tuple]) -> "DataFrame":
+    """One scan, one row per (input row, model): ``explode`` of one struct per model."""
+    rows = F.array(*[F.struct(F.lit(name).alias("model"), *[c.alias(n) for n, c in cols]) for name, cols in models])
+    return df.select(*keep, F.explode(rows).alias("_m")).select(*keep, "_m.*")
+
+
 def doc_preds(dl):
-    a = dl.select(F.lit("rule_length").alias("model"), F.lit(1).alias("ord"), "split", "y",
-                  (F.col("n_chars") > 300).cast("int").alias("pred"), F.col("n_chars").cast("double").alias("score"))
-    b = dl.select(F.lit("rule_lines").alias("model"), F.lit(2).alias("ord"), "split", "y",
-                  (F.col("n_lines") >= 3).cast("int").alias("pred"), F.col("n_lines").cast("double").alias("score"))
-    return a.unionByName(b)
+    return _per_model(dl, ["split", "y"], [
+        ("rule_length", [("ord", F.lit(1)), ("pred", (F.col("n_chars") > 300).cast("int")),
+                         ("score", F.col("n_chars").cast("double"))]),
+        ("rule_lines", [("ord", F.lit(2)), ("pred", (F.col("n_lines") >= 3).cast("int")),
+                        ("score", F.col("n_lines").cast("double"))])]).select(
+        "model", "ord", "split", "y", "pred", "score")
 
 
 DOCS_BASE = f"""
@@ -62,15 +74,14 @@ def li_preds(spark, sf):
     q, d = F.col("l_quantity"), F.col("l_discount")
     qa, qn, qr = 51 - q, 26 - F.abs(q - 25.5), q
     tq = qa + qn + qr
-    a = li.select(F.lit("rule_qty").alias("model"), F.col("l_returnflag").alias("y"),
-                  F.when(q <= 17, "A").when(q <= 34, "N").otherwise("R").alias("pred"),
-                  F.array(qa / tq, qn / tq, qr / tq).alias("probs"))
     da, dn, dr = 0.11 - d, 0.06 - F.abs(d - 0.05), d + 0.01
     td = da + dn + dr
-    b = li.select(F.lit("rule_disc").alias("model"), F.col("l_returnflag").alias("y"),
-                  F.when(d < 0.03, "A").when(d < 0.07, "N").otherwise("R").alias("pred"),
-                  F.array(da / td, dn / td, dr / td).alias("probs"))
-    return a.unionByName(b)
+    out = _per_model(li.select(F.col("l_returnflag").alias("y"), "l_quantity", "l_discount"), ["y"], [
+        ("rule_qty", [("pred", F.when(q <= 17, "A").when(q <= 34, "N").otherwise("R")),
+                      ("probs", F.array(qa / tq, qn / tq, qr / tq))]),
+        ("rule_disc", [("pred", F.when(d < 0.03, "A").when(d < 0.07, "N").otherwise("R")),
+                       ("probs", F.array(da / td, dn / td, dr / td))])])
+    return out.select("model", "y", "pred", "probs")
 
 
 LI_SQL = """
