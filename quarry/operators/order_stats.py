@@ -55,7 +55,7 @@ def _join_small(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
 
 def kth_smallest(data: DataFrame, value: str, requests: DataFrame,
                  group_cols: Sequence[str] = (), tie: str | None = None,
-                 buckets: int = BUCKETS, final_limit: int = FINAL_LIMIT,
+                 buckets: int | None = None, final_limit: int | None = None,
                  stats: DataFrame | None = None) -> DataFrame:
     """k-th smallest ``value`` per group, exactly.
 
@@ -66,6 +66,8 @@ def kth_smallest(data: DataFrame, value: str, requests: DataFrame,
     ``_cnt``, ``_lo``, ``_hi`` = count, min, max of the non-null values) saves
     the first scan when the caller already has it.
     """
+    buckets = buckets or BUCKETS
+    final_limit = final_limit or FINAL_LIMIT
     g = list(group_cols)
     if not g:
         data = data.withColumn("_g", F.lit(0))

@@ -43,3 +43,19 @@ def test_running_sums_large_path(spark, monkeypatch):
     desc = order_stats.running_sums(df, ["g"], "o", ["c"], descending=True, num_partitions=5).collect()
     for r in desc:
         assert r["cum_c"] == sum((i * 7) % 5 for i in range(r["o"], 300))
+
+
+def test_split_with_a_hot_class_through_many_refinements(spark, monkeypatch):
+    from quarry.operators.split import stratified_split
+
+    rows = [(i, "hot" if i % 3 else ("a" if i % 2 else "b")) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, y string")
+    want = {r["id"]: r["split"] for r in stratified_split(df, "y", ["id"]).table.collect()}
+    monkeypatch.setattr(order_stats, "FINAL_LIMIT", 40)
+    monkeypatch.setattr(order_stats, "BUCKETS", 8)
+    got = {r["id"]: r["split"] for r in stratified_split(df, "y", ["id"]).table.collect()}
+    assert got == want
+    sizes = {}
+    for i, y in rows:
+        sizes[(y, got[i])] = sizes.get((y, got[i]), 0) + 1
+    assert sizes[("hot", "test")] == 400 and sizes[("hot", "val")] == 400 and sizes[("hot", "train")] == 1200
