@@ -48,6 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            # a folder on the driver's disk is not shared with executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         conf = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
