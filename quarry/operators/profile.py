@@ -25,7 +25,7 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
-    """Class counts, NULLs excluded; ``rank`` orders by count desc, then class."""
+    """Class counts, NULLs excluded (order for display: ``n`` desc, then ``class``)."""
     counts = df.where(q(target).isNotNull()).groupBy(q(target).alias("class")).agg(
         F.count(F.lit(1)).alias("n"))
     return counts
