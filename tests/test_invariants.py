@@ -138,3 +138,46 @@ def test_silhouette_sparse_vectors_match_brute_force(spark):
         b = min(D[i, lab == c].mean() for c in set(lab.tolist()) if c != lab[i])
         s.append((b - a) / max(a, b))
     assert got == pytest.approx(np.mean(s), abs=1e-8)
+
+
+def _brute_ward_labels(pts, k):
+    clusters = {i: [i] for i in range(len(pts))}
+    while len(clusters) > k:
+        best = None
+        for x, y in itertools.combinations(sorted(clusters), 2):
+            a, b = pts[clusters[x]], pts[clusters[y]]
+            d = len(a) * len(b) / (len(a) + len(b)) * ((a.mean(0) - b.mean(0)) ** 2).sum()
+            if best is None or d < best[0] - 1e-12:
+                best = (d, x, y)
+        _, x, y = best
+        clusters[x] = clusters[x] + clusters.pop(y)
+    lab = np.zeros(len(pts), dtype=int)
+    for c, (_, members) in enumerate(sorted(clusters.items())):
+        lab[members] = c
+    return lab
+
+
+def _brute_silhouette(pts, lab):
+    D = np.sqrt(((pts[:, None, :] - pts[None, :, :]) ** 2).sum(-1))
+    s = []
+    for i in range(len(pts)):
+        own = (lab == lab[i]) & (np.arange(len(pts)) != i)
+        if not own.any():
+            s.append(0.0)
+            continue
+        a = D[i, own].mean()
+        b = min(D[i, lab == c].mean() for c in set(lab.tolist()) if c != lab[i])
+        s.append((b - a) / max(a, b))
+    return float(np.mean(s))
+
+
+def test_exact_ward_path_matches_brute_force(spark):
+    rng = np.random.default_rng(4)
+    base = np.vstack([rng.normal(0, 1, (10, 2)), rng.normal(5, 1, (8, 2)), rng.normal((0, 6), 1, (7, 2))])
+    pts = np.vstack([base, base[[0, 1, 2, 11, 20]]])          # exact duplicates carry weight
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(pts)], "id long, v array<double>")
+    w = K.ward_clusters(K.embeddings_features(df, "v"), "features", 2, 4, key_cols=["id"])
+    assert w.exact
+    got = {r["k"]: r["silhouette"] for r in w.table.collect()}
+    for k in (2, 3, 4):
+        assert got[k] == pytest.approx(_brute_silhouette(pts, _brute_ward_labels(pts, k)), abs=1e-8)
