@@ -36,6 +36,7 @@ class RunParams:
     target: str | None = None
     method: str = "quantile"
     n_bins: int = 3
+    cuts: list[float] | None = None
     seed: int = 42
     clean: bool = True
     key_cols: list[str] | None = None
@@ -94,7 +95,7 @@ def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None
     # 2. target, 3. discretization
     target = detect_target(data, p.target)
     with _phase("discretize"):
-        d = discretize_target(data, target, p.method, p.n_bins)
+        d = discretize_target(data, target, p.method, p.n_bins, p.cuts)
     data, target = d.table, d.target
     if d.edges is not None:
         t["bin_edges"] = spark.createDataFrame([(i, float(e)) for i, e in enumerate(d.edges)], "idx int, edge double")
