@@ -3,6 +3,8 @@ and the end-to-end job with its sources and sinks (S1, S6, S8)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import r6
@@ -338,14 +340,14 @@ def q_full_run(spark, sf):
 
 @register("metrics_sink")
 def q_sink(spark, sf):
-    out = f"{shared_dir(spark).rstrip('/')}/results/metrics_sink"
+    out = f"{shared_dir(spark).rstrip('/')}/results/metrics_sink-{uuid.uuid4().hex}"
     return run_and_write([("documents", doc_table(spark, sf))], out, LIGHT)
 
 
 @register("csv_autodetect", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""")
 def q_csv(spark, sf):
-    path = f"{shared_dir(spark).rstrip('/')}/sources/orders_semicolon_csv"
+    path = f"{shared_dir(spark).rstrip('/')}/sources/orders_semicolon_csv-{uuid.uuid4().hex}"
     o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                                "o_orderpriority")
     o.write.mode("overwrite").option("header", True).option("sep", ";").csv(path)
