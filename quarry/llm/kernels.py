@@ -179,3 +179,13 @@ class MinHash:
                     out[group, k] = np.minimum.reduceat(((part ^ x) * m) >> U64(32), where).astype(np.uint32)
                 group = []
         return out
+
+
+def word_counts(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Words (runs of bytes other than 0x20, 0x09-0x0D) of each text."""
+    word = ~_SPACE[buf]
+    first = word.copy()
+    first[1:] &= ~word[:-1]
+    cuts = offsets[:-1][offsets[:-1] < len(buf)]
+    first[cuts] = word[cuts]
+    return np.diff(np.searchsorted(np.flatnonzero(first), offsets)).astype(np.int64)
