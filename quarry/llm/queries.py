@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quarry.llm import mixing
+from quarry.llm.ann import nearest
 from quarry.llm.near_dup import near_duplicates
 from quarry.llm.shared import read_table
+from quarry.llm.token_count import token_counts
+from quarry.llm.token_files import read_token_files, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +28,27 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_ann")
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op6_token_files")
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_token_files(write_token_files(read_table(spark, sf_dir, "documents"),
+                                              public_tokenizers.path("word_bpe_49k.json")))
+
+
 @query("op9_near_dup")
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query("op10_mixing", mixing.ORACLE)
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(read_table(spark, sf_dir, "documents"))
