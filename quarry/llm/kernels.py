@@ -8,11 +8,12 @@ slices of about ``SLICE`` bytes, which bounds memory whatever a batch or a singl
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text handled at once; a longer text is cut at white space (see ``word_hashes``).
+#: Bytes of text handled at once; a longer text is cut at white space (see ``words``).
 SLICE = 1 << 20
 
 U64 = np.uint64
@@ -25,6 +26,28 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers: dict[str, np.ndarray] = {}
 
 
+class Alphabet(NamedTuple):
+    """What separates words, and the number each byte counts as in a word's hash."""
+
+    space: np.ndarray
+    byte: np.ndarray
+
+
+#: Words between white space (0x20, 0x09-0x0D); A-Z as a-z.
+PLAIN = Alphabet(_SPACE, _BYTE)
+_other = np.ones(256, bool)
+_other[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+#: Words of letters and digits (and all of a multi-byte character); A-Z as a-z, and the second bytes
+#: of U+00C0-U+00DE as those of their small letters.
+_folded = _BYTE.copy()
+_folded[0x80:0x9F] = _folded[0xA0:0xBF]
+LETTERS = Alphabet(_other, _folded)
+_masked = _folded.copy()
+_masked[48:58] = _masked[48]
+#: The same, all digits alike.
+MASKED = Alphabet(_other, _masked)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finalizer: spreads every input bit over the whole word."""
     x = x ^ (x >> U64(30))
@@ -73,47 +96,61 @@ def slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.
         i = j
 
 
-def _piece_hashes(buf: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word starts and hashes in one piece; ``cuts``: positions where a new text begins."""
+def _piece_words(buf: np.ndarray, cuts: np.ndarray, alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the words in one piece; ``cuts``: where a new text begins."""
     n = len(buf)
-    word = ~_SPACE[buf]
+    word = ~alphabet.space[buf]
     first = word.copy()
     first[1:] &= ~word[:-1]
-    if len(cuts):
-        first[cuts] |= word[cuts]
     last = word.copy()
     last[:-1] &= ~word[1:]
     if len(cuts):
+        first[cuts] |= word[cuts]
         before = cuts[cuts > 0] - 1
         last[before] |= word[before]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     if not len(starts):
-        return starts, np.zeros(0, U64)
+        return starts, ends, np.zeros(0, U64)
     up, down = _power_tables(n)
     total = np.empty(n + 1, U64)
     total[0] = 0
-    np.cumsum(_BYTE[buf] * up, out=total[1:])
-    return starts, mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64))
+    np.cumsum(alphabet.byte[buf] * up, out=total[1:])
+    return starts, ends, mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64))
 
 
-def word_hashes(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word (run of bytes other than 0x20, 0x09-0x0D; A-Z as a-z), and the word
-    offsets of each text.  A slice longer than ``SLICE`` is cut at white space."""
-    starts, hashes, at, n = [], [], 0, len(buf)
+def words(buf: np.ndarray, offsets: np.ndarray, alphabet: Alphabet = PLAIN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of all words; a slice longer than ``SLICE`` is cut between words."""
+    parts, at, n = [], 0, len(buf)
     while at < n:
         end = min(n, at + SLICE)
         while end < n:
-            space = np.flatnonzero(_SPACE[buf[end : end + SLICE]])
+            space = np.flatnonzero(alphabet.space[buf[end : end + SLICE]])
             end = end + int(space[0]) if len(space) else min(n, end + SLICE)
             if len(space):
                 break
-        inside = offsets[(offsets >= at) & (offsets < end)] - at
-        s, h = _piece_hashes(buf[at:end], np.unique(inside))
-        starts.append(s + at)
-        hashes.append(h)
+        inside = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, end)] - at
+        s, e, h = _piece_words(buf[at:end], np.unique(inside), alphabet)
+        parts.append((s + at, e + at, h))
         at = end
-    where = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-    return (np.concatenate(hashes) if hashes else np.zeros(0, U64)), np.searchsorted(where, offsets)
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64)
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def word_hashes(buf: np.ndarray, offsets: np.ndarray, alphabet: Alphabet = PLAIN) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, and the word offsets of each text."""
+    starts, _, hashes = words(buf, offsets, alphabet)
+    return hashes, np.searchsorted(starts, offsets)
+
+
+def run_hashes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """One hash for each run of hashes [offsets[i], offsets[i + 1]), order included; 0 if empty."""
+    if not len(hashes):
+        return np.zeros(len(offsets) - 1, U64)
+    up, down = _power_tables(len(hashes) + 1)
+    total = np.concatenate([[U64(0)], np.cumsum(hashes * up[:-1])])
+    sizes = np.diff(offsets)
+    return np.where(sizes > 0, mix((total[offsets[1:]] - total[offsets[:-1]]) * down[offsets[:-1]] + sizes.astype(U64)), U64(0))
 
 
 _RUN = [U64(int(x) | 1) for x in _rng.integers(1 << 62, 1 << 63, 64, dtype=np.uint64)]
@@ -136,12 +173,12 @@ def windows(hashes: np.ndarray, word_offsets: np.ndarray, size: int) -> tuple[np
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text, flat, with offsets.  A text with fewer than
     ``size`` words is one shingle of all its words; without words the set is empty."""
-    hashes, words = word_hashes(buf, offsets)
-    grams, at = windows(hashes, words, size)
-    cut = np.searchsorted(at, words)
+    hashes, spans = word_hashes(buf, offsets)
+    grams, at = windows(hashes, spans, size)
+    cut = np.searchsorted(at, spans)
     sets = []
     for i in range(len(offsets) - 1):
-        a, b = words[i], words[i + 1]
+        a, b = spans[i], spans[i + 1]
         if b - a >= size:
             sets.append(np.unique(grams[cut[i] : cut[i + 1]]))
         elif b > a:

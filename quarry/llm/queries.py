@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from quarry.llm import mixing
 from quarry.llm.ann import nearest
+from quarry.llm.decontaminate import leaks
 from quarry.llm.near_dup import near_duplicates
+from quarry.llm.quality import resample
 from quarry.llm.shared import read_table
 from quarry.llm.token_count import token_counts
 from quarry.llm.token_files import read_token_files, write_token_files
@@ -33,11 +35,21 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query("op4_token_counts")
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op5_decontamination")
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query("op6_token_files")
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(read_table(spark, sf_dir, "documents"),
