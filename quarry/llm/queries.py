@@ -16,6 +16,7 @@ from quarry.llm.quality import resample
 from quarry.llm.shared import read_table
 from quarry.llm.token_count import token_counts
 from quarry.llm.token_files import read_token_files, write_token_files
+from quarry.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +36,11 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query("op3_quality")
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
