@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import kernels as K
-from quarry.llm.shared import bitmap_of, components, grouped, in_bitmap, roots, stored
+from quarry.llm.shared import bitmap_of, components, grouped, in_bitmap, in_blocks, roots, stored
 
 TREES, BASE, DEEP = 24, 4, 8
 HASHES = TREES * BASE
@@ -162,16 +162,6 @@ def _links(size: int, percent: int):
     return run
 
 
-def _blocks(rows: DataFrame, key: str, count) -> DataFrame:
-    """Split each group into ``count`` blocks by a hash of the row and send it to the pairs of blocks."""
-    block = F.pmod(F.xxhash64("rep"), F.col("_n")).alias("_b")
-    meet = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1),
-                       lambda o: F.least(o, F.col("_b")) * F.col("_n") + F.greatest(o, F.col("_b")))
-    return (rows.withColumn("_n", count.cast("long")).select("*", block)
-            .withColumn("part", F.explode(F.when(F.col("_n") == 1, F.array(F.lit(0).cast("long"))).otherwise(meet)))
-            .drop("_n", "_b"))
-
-
 def _likely_pairs(reps: DataFrame, least: float) -> DataFrame:
     """(a, b): spanning pairs of representatives whose signatures nearly agree in a region."""
     rows = stored(reps.select("rep", "sig").mapInArrow(_base_rows, "key long, rep long, tree int"), "forest")
@@ -190,7 +180,7 @@ def _likely_pairs(reps: DataFrame, least: float) -> DataFrame:
                    .agg(F.min_by(F.struct("key", "n"), best).alias("x")).select("x.key", "rep", "x.n"))
         settled = met.where(F.col("n") <= REGION).select("key", "rep", "n").unionByName(deepest).where("n > 1")
     settled = settled.join(reps.select("rep", "sig"), "rep")
-    settled = _blocks(settled, "key", F.ceil(F.col("n") / REGION))
+    settled = in_blocks(settled, "rep", F.ceil(F.col("n") / REGION))
     return grouped(settled.select("key", "part", "rep", "sig"), ["key", "part"], _similar(least), "a long, b long")
 
 
@@ -225,7 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = (clusters.join(reps.select("rep", "n_shingles"), "rep").groupBy("cluster")
              .agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles")))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
-    members = _blocks(clusters.join(sizes, "cluster"), "cluster", blocks).select("cluster", "part", "rep")
+    members = in_blocks(clusters.join(sizes, "cluster"), "rep", blocks).select("cluster", "part", "rep")
     links = grouped(members.join(texts, "rep").select("cluster", "part", "rep", "text"), ["cluster", "part"],
                     _links(size, percent), "a long, b long")
     linked = components(links, "a", "b").withColumnsRenamed({"node": "rep"})

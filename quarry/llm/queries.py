@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from quarry.llm import mixing
 from quarry.llm.ann import nearest
 from quarry.llm.decontaminate import leaks
+from quarry.llm.html_text import page_texts
+from quarry.llm.line_dedup import repeated_lines
 from quarry.llm.near_dup import near_duplicates
 from quarry.llm.quality import resample
-from quarry.llm.shared import read_table
 from quarry.llm.token_count import token_counts
 from quarry.llm.token_files import read_token_files, write_token_files
 from quarry.llm.toxicity import toxicity
+from quarry.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,6 +64,16 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               public_tokenizers.path("word_bpe_49k.json")))
 
 
+@query("op7_html_text")
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_texts(read_table(spark, sf_dir, "pages"))
+
+
+@query("op8_line_dedup")
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_lines(read_table(spark, sf_dir, "documents"))
+
+
 @query("op9_near_dup")
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))

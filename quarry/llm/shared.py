@@ -7,14 +7,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import read_table, shared_dir
-
-__all__ = ["bitmap_of", "components", "fresh_folder", "grouped", "in_bitmap", "labelled_documents",
-           "read_table", "stored"]
-
+from quarry.session import shared_dir
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new, unused path below ``spark.checkpoint.dir``."""
@@ -32,9 +28,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.join(read_table(spark, sf_dir, "labels"), "doc_id")
+class Remembered(dict):
+    """A bounded cache of ``made(key)``: two generations, of which the older is dropped when the newer
+    is full, so what is asked for often stays.  Keys of over 64 characters are not kept."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.older = size // 2, {}
+
+    def made(self, key: str):
+        raise NotImplementedError
+
+    def __missing__(self, key: str):
+        found = self.older.get(key)
+        if found is None:
+            found = self.made(key)
+        if len(key) <= 64:
+            if len(self) >= self.size:
+                self.older = dict(self)
+                self.clear()
+            self[key] = found
+        return found
 
 
 ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
@@ -86,6 +100,17 @@ def grouped(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table |
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
+def in_blocks(rows: DataFrame, member: str, count: Column) -> DataFrame:
+    """Split each group into ``count`` blocks by a hash of the member, and send a row to every pair of
+    blocks its own is in (column ``part``): any two members meet, in tasks of bounded size."""
+    block = F.pmod(F.xxhash64(member), F.col("_n")).alias("_b")
+    meet = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1),
+                       lambda o: F.least(o, F.col("_b")) * F.col("_n") + F.greatest(o, F.col("_b")))
+    alone = F.array(F.lit(0).cast("long"))
+    return (rows.withColumn("_n", count.cast("long")).select("*", block)
+            .withColumn("part", F.explode(F.when(F.col("_n") == 1, alone).otherwise(meet))).drop("_n", "_b"))
+
+
 # --- membership bitmap ---------------------------------------------------------------------------
 
 #: Bits of a membership bitmap: 2^26 = 8 MB, whatever the data (the proven bound of its broadcast).

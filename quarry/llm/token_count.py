@@ -18,6 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.shared import Remembered
+
 #: Fixed value: the byte-level pre-tokeniser's pattern.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
                        r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
@@ -38,10 +40,11 @@ def byte_symbols() -> list[str]:
     return out
 
 
-class PairMerger(dict):
+class PairMerger(Remembered):
     """Token counts of stretches (each with a space before it), worked out when first asked for."""
 
     def __init__(self, vocabulary: bytes):
+        super().__init__(REMEMBERED)
         spec = json.loads(vocabulary)
         ids = spec["model"]["vocab"]
         self.first = [ids[s] for s in byte_symbols()]
@@ -82,13 +85,10 @@ class PairMerger(dict):
     def stretch(self, text: str) -> int:
         return sum(self.merged(p.encode()) for p in PIECES.findall(text))
 
-    def __missing__(self, part: str) -> int:
-        found = self.stretch(f" {part}")
-        if len(part) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[part] = found
-        return found
+    def made(self, part: str) -> int:
+        if part[-1:] in (",", ".") and part[:-1].isalpha():  # letters, then a piece of one byte
+            return self[part[:-1]] + 1
+        return self.stretch(f" {part}")
 
     def plain(self, text: str) -> int:
         total, at = 0, 0

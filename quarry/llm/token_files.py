@@ -27,22 +27,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quarry.llm.shared import fresh_folder, stored
+from quarry.llm.shared import Remembered, fresh_folder, stored
 
 #: Stands for a null doc_id in ``.doc`` files.
 NO_ID = -(1 << 63)
 #: Distinct words remembered by a worker; ids read back at once.
-REMEMBERED, READ_IDS = 300_000, 1 << 22
+REMEMBERED, READ_IDS = 500_000, 1 << 22
 
 
-class WordEncoder(dict):
+class WordEncoder(Remembered):
     """Ids (as bytes) of white-space-free words by the tokenizers library, each encoded once.
 
     The vocabulary's pieces never cross white space, so a text's ids are those of its words end to
-    end; a text that holds the string of a special token goes to the library as a whole.
+    end; a text that holds the string of a special token goes to the library as a whole.  Letters and
+    one mark after them are separate pieces, and A-Z is folded, so such words are put together from
+    words already met.
     """
 
     def __init__(self, vocabulary: bytes):
+        super().__init__(REMEMBERED)
         self.library = Tokenizer.from_buffer(vocabulary)
         self.library.no_truncation()
         self.library.no_padding()
@@ -50,15 +53,14 @@ class WordEncoder(dict):
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        found = self.ids(word) if word else b""
-        if len(word) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = found
-        return found
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
+
+    def made(self, word: str) -> bytes:
+        if word[-1:] in (",", ".") and word[:-1].isalpha():
+            return self[word[:-1]] + self[word[-1]]
+        if word.isascii() and word.isalpha() and not word.islower():
+            return self[word.lower()]
+        return self.ids(word) if word else b""
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import stored
+from quarry.llm.shared import Remembered, stored
 
 #: Labelled training documents used, of each label (bounded sample, by hash of the id).
 FIT_DOCS = 3000
@@ -109,23 +109,19 @@ def stems(word: str) -> Iterator[str]:
         yield f"{word[:n]}*"
 
 
-class Symbols(dict):
+class Symbols(Remembered):
     """Symbol of each white-space token as it stands, worked out when first met."""
 
     def __init__(self, lexicon: dict[str, int]):
+        super().__init__(400_000)
         self.known = dict.fromkeys(TARGETS, TARGET) | dict.fromkeys(NEGATIONS, NEGATION) | dict.fromkeys(REPORTS, REPORT)
         self.known |= dict.fromkeys(INTENTS, INTENT) | dict.fromkeys(THREATS, THREAT)
         self.known = lexicon | self.known
 
-    def __missing__(self, token: str) -> int:
+    def made(self, token: str) -> int:
         word = _WORD.search(token.lower().replace("’", "'"))
         symbol = next((self.known[s] for s in stems(word[0]) if s in self.known), OTHER) if word else OTHER
-        symbol += ENDS * (token[-1:] in ".!?;:")
-        if len(token) <= 40:
-            if len(self) >= 300_000:
-                self.clear()
-            self[token] = symbol
-        return symbol
+        return symbol + ENDS * (token[-1:] in ".!?;:")
 
 
 def _tokens(text: str, step: int = 1 << 20) -> Iterator[list[str]]:
