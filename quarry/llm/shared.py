@@ -43,12 +43,15 @@ class Remembered(dict):
         found = self.older.get(key)
         if found is None:
             found = self.made(key)
+        self.keep(key, found)
+        return found
+
+    def keep(self, key: str, found) -> None:
         if len(key) <= 64:
             if len(self) >= self.size:
                 self.older = dict(self)
                 self.clear()
             self[key] = found
-        return found
 
 
 ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),

@@ -10,6 +10,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import string
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -52,6 +53,7 @@ class PairMerger(Remembered):
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.merges[ids[left], ids[right]] = (rank, ids[left + right])
+        self.marks = lru_cache(10_000)(self.stretch)
         special = sorted((t["content"] for t in spec.get("added_tokens", [])), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.quick = special
@@ -86,8 +88,9 @@ class PairMerger(Remembered):
         return sum(self.merged(p.encode()) for p in PIECES.findall(text))
 
     def made(self, part: str) -> int:
-        if part[-1:] in (",", ".") and part[:-1].isalpha():  # letters, then a piece of one byte
-            return self[part[:-1]] + 1
+        head = part.rstrip(string.punctuation)
+        if head != part and head.isalpha():  # letters, then one piece of marks
+            return self[head] + self.marks(part[len(head) :])
         return self.stretch(f" {part}")
 
     def plain(self, text: str) -> int:

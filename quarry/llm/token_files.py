@@ -14,6 +14,7 @@ lost executor leaves an unused file, never a wrong one.  Memory is one Arrow bat
 from __future__ import annotations
 
 import re
+import string
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -29,6 +30,7 @@ from tokenizers import Tokenizer
 
 from quarry.llm.shared import Remembered, fresh_folder, stored
 
+MARKS = string.punctuation
 #: Stands for a null doc_id in ``.doc`` files.
 NO_ID = -(1 << 63)
 #: Distinct words remembered by a worker; ids read back at once.
@@ -40,7 +42,7 @@ class WordEncoder(Remembered):
 
     The vocabulary's pieces never cross white space, so a text's ids are those of its words end to
     end; a text that holds the string of a special token goes to the library as a whole.  Letters and
-    one mark after them are separate pieces, and A-Z is folded, so such words are put together from
+    the marks after them are separate pieces, and A-Z is folded, so such words are put together from
     words already met.
     """
 
@@ -56,21 +58,61 @@ class WordEncoder(Remembered):
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
 
     def made(self, word: str) -> bytes:
-        if word[-1:] in (",", ".") and word[:-1].isalpha():
-            return self[word[:-1]] + self[word[-1]]
+        head = word.rstrip(MARKS)
+        if head != word and head.isalpha():
+            return self[head] + self[word[len(head) :]]
         if word.isascii() and word.isalpha() and not word.islower():
             return self[word.lower()]
         return self.ids(word) if word else b""
 
-    def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self.ids(text)
-        if len(text) > 1 << 20:  # very long: line by line, to hold few words at a time
-            return b"".join(self.encode(x) if len(x) <= 1 << 20 else self._words(x) for x in text.split("\n"))
-        return self._words(text)
-
-    def _words(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+    def learn(self, words: set[str]) -> None:
+        """Encode the unseen letter-only words of many texts in a few calls: each is one piece."""
+        new = set()
+        for word in words.difference(self):
+            word = word.rstrip(MARKS)
+            if word.isalpha() and len(word) <= 64:
+                word = word.lower() if word.isascii() else word
+                if word not in self and word not in self.older:
+                    new.add(word)
+        new = sorted(new)
+        for at in range(0, len(new), 500):
+            part = new[at : at + 500]
+            found = self.library.encode(" ".join(part), add_special_tokens=False)
+            piece = np.array(found.word_ids)
+            if len(piece) and piece[-1] == len(part) - 1:  # as many pieces as words
+                cuts = (np.searchsorted(piece, np.arange(len(part) + 1)) * self.kind.itemsize).tolist()
+                data = np.array(found.ids, self.kind).tobytes()
+                for word, a, b in zip(part, cuts, cuts[1:]):
+                    self.keep(word, data[a:b])
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text."""
+        split = [None if any(s in t for s in self.special) else t.replace("\n", " ").split(" ") for t in texts]
+        self.learn(set().union(*filter(None, split)))
+        for text, words in zip(texts, split):
+            yield self.ids(text) if words is None else b"".join(map(self.__getitem__, words))
+
+    def runs(self, column: pa.Array, limit: int = 1 << 20) -> Iterator[bytes]:
+        """The ids of each text of a column, encoded in runs of about ``limit`` characters; a longer
+        text goes in pieces cut at spaces."""
+        held, size = [], 0
+        for value in column:
+            text = value.as_py() or ""
+            if size + len(text) > limit and held:
+                yield from self.encode(held)
+                held, size = [], 0
+            if len(text) > 4 * limit and not any(s in text for s in self.special):
+                pieces, at = [], 0
+                while at < len(text):
+                    cut = text.find(" ", at + limit)
+                    cut = len(text) if cut < 0 else cut
+                    pieces += self.encode([text[at:cut]])
+                    at = cut + 1
+                yield b"".join(pieces)
+                continue
+            held.append(text)
+            size += len(text)
+        yield from self.encode(held)
 
 
 @lru_cache(maxsize=2)
@@ -110,8 +152,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
                 streams = [fs.open_output_stream(f"{path}/{name}.{x}") for x in ("ids", "off", "doc")]
                 streams[1].write(np.zeros(1, "<u8").tobytes())
             sizes = []
-            for text in batch["text"]:
-                data = words.encode(text.as_py() or "") + end
+            for data in words.runs(batch["text"]):
+                data += end
                 streams[0].write(data)
                 sizes.append(len(data) // words.kind.itemsize)
             ends = at + np.cumsum(np.array(sizes, np.uint64))
