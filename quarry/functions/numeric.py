@@ -21,11 +21,6 @@ def bin_labels(n: int) -> list[str]:
     return list(BIN_LABELS.get(n, [f"G{i + 1}" for i in range(n)]))
 
 
-def safe_div(num: Column, den: Column) -> Column:
-    """num / den, NULL when den is 0 (ANSI mode would raise)."""
-    return F.try_divide(num, den)
-
-
 def div0(num: Column, den: Column) -> Column:
     """num / den with 0/0 -> 0 (scikit-learn's zero_division=0)."""
     return F.coalesce(F.try_divide(num, den), F.lit(0.0))

@@ -26,7 +26,6 @@ LOAD_NA_TOKENS = [
 
 # Currency signs, the sol prefix and currency codes removed
 # before parsing a number.
-CURRENCY_SIGNS = "[$€¥£]"
 CURRENCY_CHARS = "$€¥£"
 LETTER_RE = "[A-Za-z]"
 SOL_PREFIX = "(?i)S/\\.?"

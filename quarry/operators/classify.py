@@ -18,11 +18,12 @@ from quarry.operators.schema import q
 MAX_CLASSES = 1_000
 
 
-def class_labels(df: DataFrame, target: str) -> list:
-    """Sorted distinct non-null target values (bounded: a classification target)."""
-    vals = df.where(q(target).isNotNull()).select(q(target)).distinct().limit(MAX_CLASSES + 1).collect()
-    if len(vals) > MAX_CLASSES:
-        raise ValueError("too many classes for a classification target")
+def class_labels(df: DataFrame, target: str, max_classes: int = MAX_CLASSES) -> list:
+    """Sorted distinct non-null target values; more than ``max_classes`` raise: the models keep counts
+    per class and node, and the labels pass through the driver."""
+    vals = df.where(q(target).isNotNull()).select(q(target)).distinct().limit(max_classes + 1).collect()
+    if len(vals) > max_classes:
+        raise ValueError(f"more than {max_classes} classes: not a classification target (max_classes raises the limit)")
     return sorted(r[0] for r in vals)
 
 

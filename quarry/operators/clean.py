@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import clean_text, number_core, number_finish, strip
 from quarry.operators.schema import q
-from quarry.session import materialize
 
 def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
@@ -77,7 +76,7 @@ def numeric_text_columns(df: DataFrame, cols: list[str] | None = None,
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(q(c)).alias(f"n{i}"), F.count(f"__num_{i}").alias(f"p{i}")]
-    row = parsed(df.select(*cols), cols).agg(*aggs)
+    row = parsed(df.select(*[q(c) for c in cols]), cols).agg(*aggs)
     stack = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"),
                                F.col(f"n{i}").alias("n_values"), F.col(f"p{i}").alias("n_parsed"))
                       for i, c in enumerate(cols)])
@@ -98,10 +97,11 @@ def drop_exact_duplicates(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct rows (NULLs equal) and the number of dropped copies.
 
     One aggregate does both: it pre-aggregates map-side, so a row repeated a
-    billion times crosses the shuffle once per map task.
+    billion times crosses the shuffle once per map task.  Both results are lazy; a
+    caller that reads the table often materializes it (a run does).  All columns
+    are compared, so the query leaves out the unique key of its table.
     """
     counted = df.groupBy(*[q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
-    counted = materialize(counted)
     dups = counted.agg((F.sum("_copies") - F.count(F.lit(1))).cast("long").alias("duplicates"),
                        F.sum("_copies").cast("long").alias("rows_before"),
                        F.count(F.lit(1)).cast("long").alias("rows_after"))

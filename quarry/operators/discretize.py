@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -159,6 +160,26 @@ def edges_table(df: DataFrame, edges: list[float]) -> DataFrame:
         "idx", F.round("edge", 2).alias("edge"))
 
 
+def _target_is_continuous(df: DataFrame, target: str, min_distinct: int = CONTINUOUS_DISTINCT) -> bool:
+    """D1's decision alone: a few distinct values are enough, so no task passes on more than
+    ``min_distinct + 1`` of them."""
+    if not is_numeric_type(df.schema[target].dataType):
+        return False
+    x = q(target).cast("double")
+    r = df.agg(F.bool_and(x == F.floor(x)).alias("whole"), (F.max(x) - F.min(x)).alias("range")).first()
+    if (r["whole"] is None or r["whole"]) and (r["range"] is None or r["range"] < SMALL_INT_RANGE):
+        return False
+
+    def few(batches):
+        seen = set()
+        for batch in batches:
+            if len(seen) <= min_distinct:
+                seen.update(batch.column(0).unique().to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(seen)[: min_distinct + 1], pa.float64())], ["v"])
+    values = df.select(x.alias("v")).where("v IS NOT NULL").mapInArrow(few, "v double")
+    return values.distinct().limit(min_distinct + 1).count() > min_distinct
+
+
 @dataclass
 class Discretized:
     table: DataFrame
@@ -172,8 +193,7 @@ class Discretized:
 def discretize_target(df: DataFrame, target: str, method: str = "quantile", n_bins: int = 3,
                       cuts: list[float] | None = None) -> Discretized:
     """When the target is continuous, add ``<target>_cat`` at the end and drop the target."""
-    info = is_continuous(df, [target]).first()
-    if not info["is_continuous"]:
+    if not _target_is_continuous(df, target):
         return Discretized(df, target, False, None, None, None)
     out = f"{target}_cat"
     if method == "quantile":

@@ -26,7 +26,8 @@ from quarry.operators.profile import long_numeric
 from quarry.operators.schema import q
 
 
-MAX_CATEGORIES = 100_000
+#: Slots of a column with more train values than this: values share them by hash.
+MAX_SLOTS = 10_000
 
 
 def _sql_lit(v) -> str:
@@ -75,7 +76,12 @@ def standardize(df: DataFrame, cols: list[str], moments: dict[str, tuple[float,
 
 
 def train_modes(train: DataFrame, cols: list[str]) -> dict[str, str | None]:
-    """X4 statistics: most frequent train value per column, smallest on a tie.
+    """The mode of each column."""
+    return {c: m for c, (m, _) in category_stats(train, cols).items()}
+
+
+def category_stats(train: DataFrame, cols: list[str]) -> dict[str, tuple[str | None, int]]:
+    """X4 statistics: most frequent train value per column (smallest on a tie) and number of values.
 
     Counts per (column, value) are pre-aggregated map-side; the pick per
     column is a ``min_by`` aggregate, so no task holds all values of a column.
@@ -88,13 +94,8 @@ def train_modes(train: DataFrame, cols: list[str]) -> dict[str, str | None]:
     best = counts.groupBy("column").agg(
         F.min_by("value", F.struct((-F.col("n")).alias("nn"), F.col("value").alias("v"))).alias("mode"),
         F.count(F.lit(1)).alias("n_values")).collect()
-    wide = [(r["column"], r["n_values"]) for r in best if r["n_values"] > MAX_CATEGORIES]
-    if wide:
-        # one 0/1 slot per category: the category list itself would have to pass the driver
-        raise ValueError(f"categorical columns with more than {MAX_CATEGORIES} train values cannot be "
-                         f"one-hot encoded; drop or hash them first: {wide}")
-    got = {r["column"]: r["mode"] for r in best}
-    return {c: got.get(c) for c in cols}
+    got = {r["column"]: (r["mode"], int(r["n_values"])) for r in best}
+    return {c: got.get(c, (None, 0)) for c in cols}
 
 
 def impute_mode(df: DataFrame, cols: list[str], modes: dict[str, str | None]) -> DataFrame:
@@ -112,27 +113,38 @@ class FeatureModel:
     moments: dict
     modes: dict
     names: list[str] = field(default_factory=list)
+    hashed: list[str] = field(default_factory=list)
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.model.transform(df)
 
 
 def fit_features(data: DataFrame, numeric: list[str], categorical: list[str],
-                 split_col: str | None = "split", output: str = "features") -> FeatureModel:
-    """Fit the whole preprocessing on ``split = 'train'`` rows (all rows when split_col is None)."""
+                 split_col: str | None = "split", output: str = "features", max_slots: int = MAX_SLOTS) -> FeatureModel:
+    """Fit the whole preprocessing on ``split = 'train'`` rows (all rows when split_col is None).
+
+    A categorical column with more than ``max_slots`` train values gets that many slots, which its values
+    share by hash (named ``column_#slot``): no column is left out, and neither the category lists nor the
+    vectors grow with the table.
+    """
     train = data.where(F.col(split_col) == "train") if split_col else data
     medians = train_medians(train, numeric)
     num = [c for c in numeric if medians.get(c) is not None]
     moments = train_moments(train, num, medians)
-    modes = train_modes(train, categorical)
+    stats = category_stats(train, categorical)
+    modes = {c: m for c, (m, _) in stats.items()}
     cat = [c for c in categorical if modes.get(c) is not None]
+    hashed = [c for c in cat if stats[c][1] > max_slots]
     exprs = ["*"]
     for i, c in enumerate(num):
         m, s = moments[c]
         exprs.append(f"(coalesce(CAST(`{c}` AS DOUBLE), {_sql_lit(medians[c])}) - {_sql_lit(m)}) / {_sql_lit(s)}"
                      f" AS `__f{i}`")
     for j, c in enumerate(cat):
-        exprs.append(f"coalesce(CAST(`{c}` AS STRING), {_sql_lit(modes[c])}) AS `__c{j}`")
+        value = f"coalesce(CAST(`{c}` AS STRING), {_sql_lit(modes[c])})"
+        if c in hashed:
+            value = f"concat('#', pmod(xxhash64({value}), {max_slots}))"
+        exprs.append(f"{value} AS `__c{j}`")
     sqlt = SQLTransformer(statement=f"SELECT {', '.join(exprs)} FROM __THIS__")
     stages = [sqlt]
     names = list(num)
@@ -150,7 +162,7 @@ def fit_features(data: DataFrame, numeric: list[str], categorical: list[str],
             names += [f"{c}_{v}" for v in si.labelsArray[j]]
         vec_inputs += [f"__o{j}" for j in range(len(cat))]
     stages.append(VectorAssembler(inputCols=vec_inputs, outputCol=output, handleInvalid="keep"))
-    return FeatureModel(PipelineModel(stages=stages), num, cat, medians, moments, modes, names)
+    return FeatureModel(PipelineModel(stages=stages), num, cat, medians, moments, modes, names, hashed)
 
 
 def feature_names(fm: FeatureModel) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numeric import EPS, div0
 from quarry.operators import order_stats
+from quarry.operators.schema import exclude_matching
 
 
 def confusion(pred: DataFrame, by: Sequence[str] = ("model",), y: str = "y", p: str = "pred") -> DataFrame:
@@ -70,13 +71,13 @@ def summary(cm: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """Accuracy, weighted F1, macro F1, balanced accuracy, kappa, MCC per group."""
     by = list(by)
     pc = per_class(cm, by)
+    real, predicted = F.col("real_n").cast("double"), F.col("pred_n").cast("double")
     s = pc.groupBy(*by).agg(
         F.sum("tp").alias("c"), F.first("total").alias("s"),
         F.sum(F.col("f1") * F.col("real_n")).alias("_wf1"), F.avg("f1").alias("f1_macro"),
         F.avg(F.when(F.col("real_n") > 0, F.col("recall"))).alias("balanced_accuracy"),
-        F.sum(F.col("real_n") * F.col("pred_n")).alias("_tp"),
-        F.sum(F.col("pred_n") * F.col("pred_n")).alias("_pp"),
-        F.sum(F.col("real_n") * F.col("real_n")).alias("_tt"))
+        # products of counts pass 64 bits from 3e9 rows a class on
+        F.sum(real * predicted).alias("_tp"), F.sum(predicted * predicted).alias("_pp"), F.sum(real * real).alias("_tt"))
     c, n = F.col("c").cast("double"), F.col("s").cast("double")
     pe = F.col("_tp") / (n * n)
     po = c / n
@@ -117,7 +118,7 @@ def auc_binary(scores: DataFrame, by: Sequence[str] = ("model",), y: str = "y",
     res = cum.groupBy(*by).agg(
         F.sum(F.col("p") * (F.col("cum_q") - F.col("q") + 0.5 * F.col("q"))).alias("_u"),
         F.sum("p").alias("_p"), F.sum("q").alias("_q"))
-    return res.select(*by, F.try_divide(F.col("_u"), F.col("_p") * F.col("_q")).alias("auc"),
+    return res.select(*by, F.try_divide(F.col("_u"), F.col("_p").cast("double") * F.col("_q")).alias("auc"),
                       F.col("_p").alias("n_pos"), F.col("_q").alias("n_neg"))
 
 
@@ -298,7 +299,7 @@ def comparison_table(val: DataFrame, test: DataFrame) -> DataFrame:
 
 def best_model(table: DataFrame, split: str = "test") -> DataFrame:
     """Highest F1 on ``split`` without baseline models; the first in order on a tie."""
-    cand = table.where((F.col("split") == split) & ~F.lower(F.col("model")).rlike("baseline|dummy"))
+    cand = exclude_matching(table.where(F.col("split") == split))
     return cand.orderBy(F.col("f1").desc(), F.col("ord").asc()).limit(1)
 
 

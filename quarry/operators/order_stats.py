@@ -20,8 +20,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.session import materialize
 
@@ -39,18 +41,22 @@ def freeze(df: DataFrame) -> DataFrame:
     rebuilt from its rows, which avoids file I/O; anything larger is written as
     a reliable checkpoint and never passes through the driver.
     """
-    rows = df.limit(FREEZE_ROWS + 1).collect()
-    if len(rows) <= FREEZE_ROWS:
-        return df.sparkSession.createDataFrame(rows, df.schema)
-    return materialize(df)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)  # the probe and the checkpoint share one evaluation
+    try:
+        rows = df.limit(FREEZE_ROWS + 1).collect()
+        if len(rows) <= FREEZE_ROWS:
+            return df.sparkSession.createDataFrame(rows, df.schema)
+        return materialize(df)
+    finally:
+        df.unpersist()
 
 
-def _join_small(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join with a broadcast only when the small side's row count is checked."""
     n = small.count()
     if n <= BROADCAST_ROWS:
-        return big.join(F.broadcast(small), on)
-    return big.join(small, on)
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
 
 
 def kth_smallest(data: DataFrame, value: str, requests: DataFrame,
@@ -69,6 +75,13 @@ def kth_smallest(data: DataFrame, value: str, requests: DataFrame,
     buckets = buckets or BUCKETS
     final_limit = final_limit or FINAL_LIMIT
     g = list(group_cols)
+    if tie is None and isinstance(data.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        if stats is None:
+            stats = freeze(group_stats(data, g, value))
+        odd = (F.col("_lo") == float("-inf")) | (F.col("_hi") == float("inf")) | F.isnan("_hi")
+        if stats.where(odd).limit(1).count():
+            special = _special_values(data, value, g)
+            return _around_special(data, value, requests, g, special, buckets, final_limit)
     if not g:
         data = data.withColumn("_g", F.lit(0))
         requests = requests.withColumn("_g", F.lit(0))
@@ -88,10 +101,7 @@ def kth_smallest(data: DataFrame, value: str, requests: DataFrame,
     state = freeze(state)
 
     def settled(c_lo="_lo", c_hi="_hi") -> Column:
-        done = F.col("_cnt") <= final_limit
-        if tie is None:
-            done = done | (F.col(c_lo) == F.col(c_hi))
-        return done
+        return (F.col("_cnt") <= final_limit) | (F.col(c_lo) == F.col(c_hi))
 
     key = [*g, "_lo", "_hi"]
     while True:
@@ -102,9 +112,9 @@ def kth_smallest(data: DataFrame, value: str, requests: DataFrame,
         lo = F.col("_lo").cast("double")
         hi = F.col("_hi").cast("double")
         v = F.col("_v").cast("double")
-        bucket = F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * buckets),
+        bucket = F.when(hi > lo, F.least(F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * buckets),
                                          F.lit(buckets - 1))).otherwise(F.lit(0))
-        hist = (_join_small(d, intervals, g)
+        hist = (join_small(d, intervals, g)
                 .where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
                 .withColumn("_b", bucket)
                 .groupBy(*key, "_b")
@@ -128,10 +138,17 @@ def kth_smallest(data: DataFrame, value: str, requests: DataFrame,
         single = state.where(F.col("_lo") == F.col("_hi")).select(*out_cols)
         rest = state.where(F.col("_lo") != F.col("_hi"))
     else:
-        single = None
-        rest = state
+        # equal values beyond the limit: if their ties are equal too, any of them is the k-th
+        same = state.where((F.col("_cnt") > final_limit) & (F.col("_lo") == F.col("_hi")))
+        single, rest = None, state
+        if same.limit(1).count():
+            ties = (join_small(d, same.select(*key).distinct(), g).where(F.col("_v") == F.col("_lo"))
+                    .groupBy(*key).agg(F.min("_t").alias("_tlo"), F.max("_t").alias("_thi")))
+            ties = freeze(ties.where(F.col("_tlo") == F.col("_thi")))
+            single = same.join(ties, key).select(*out_cols, F.col("_tlo").alias("kth_tie"))
+            rest = state.join(ties.select(*key), key, "left_anti")
     intervals = rest.select(*key).distinct()
-    rows = (_join_small(d, intervals, g)
+    rows = (join_small(d, intervals, g)
             .where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))))
     order = [F.col("_v")] + ([F.col("_t")] if tie else [])
     rows = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
@@ -147,6 +164,32 @@ def kth_smallest(data: DataFrame, value: str, requests: DataFrame,
     return result
 
 
+def _special_values(data: DataFrame, value: str, g: list[str]) -> DataFrame:
+    """Counts of -inf, finite, +inf and NaN per group."""
+    v = F.col(value).cast("double")
+    low, high, none = v == float("-inf"), v == float("inf"), F.isnan(v)
+    return freeze(data.where(v.isNotNull()).groupBy(*g).agg(
+        F.count_if(low).alias("_low"), F.count_if(~low & ~high & ~none).alias("_finite"),
+        F.count_if(high).alias("_high"), F.count_if(none).alias("_none")))
+
+
+def _around_special(data, value, requests, g, counts, buckets, final_limit) -> DataFrame:
+    """``kth_smallest`` where buckets of equal width make no sense for some values: the finite ones are
+    ranked by themselves, the others by their counts (NaN last, as Spark orders)."""
+    v = F.col(value).cast("double")
+    asks = requests.select(*g, "req", F.col("k").cast("long").alias("k"))
+    asks = asks.join(counts, g) if g else asks.crossJoin(F.broadcast(counts))  # one row
+    end = F.col("_low") + F.col("_finite")
+    finite = kth_smallest(data.where(~F.isnan(v) & (F.abs(v) < float("inf"))), value,
+                          asks.where((F.col("k") > F.col("_low")) & (F.col("k") <= end))
+                          .select(*g, "req", (F.col("k") - F.col("_low")).alias("k")), g, None, buckets, final_limit)
+    rest = asks.where((F.col("k") >= 1) & (F.col("k") <= end + F.col("_high") + F.col("_none"))
+                      & ((F.col("k") <= F.col("_low")) | (F.col("k") > end)))
+    kth = (F.when(F.col("k") <= F.col("_low"), float("-inf")).when(F.col("k") <= end + F.col("_high"), float("inf"))
+           .otherwise(float("nan")).cast(data.schema[value].dataType))
+    return finite.select(*g, "req", "kth").unionByName(rest.select(*g, "req", kth.alias("kth")))
+
+
 def group_stats(data: DataFrame, group_cols: Sequence[str], value: str) -> DataFrame:
     """Count, min and max of the non-null ``value`` per group (``_cnt``, ``_lo``, ``_hi``)."""
     return (data.where(F.col(value).isNotNull()).groupBy(*group_cols)
@@ -207,7 +250,7 @@ def running_sums(df: DataFrame, partition_cols: Sequence[str], order_col: str,
     wprev = Window.partitionBy(*p).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *p, *[F.coalesce(F.sum(f"_t_{c}").over(wprev), F.lit(0))
                                           .alias(f"_o_{c}") for c in sum_cols])
-    joined = ranged.join(offsets, ["_pid", *p])
+    joined = join_small(ranged, freeze(offsets), ["_pid", *p])
     wloc = Window.partitionBy("_pid", *p).orderBy(ocol).rowsBetween(Window.unboundedPreceding, 0)
     out = joined.select(*df.columns, *[(F.col(f"_o_{c}") + F.sum(c).over(wloc)).alias(f"cum_{c}")
                                        for c in sum_cols])

@@ -96,7 +96,8 @@ def boxplot_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
     wide = wide.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
-    stats = base.join(wide, "grp").groupBy("grp", "q1", "median", "q3", "iqr").agg(
+    # one row per group, frozen: broadcast when its row count allows
+    stats = order_stats.join_small(base, order_stats.freeze(wide), ["grp"]).groupBy("grp", "q1", "median", "q3", "iqr").agg(
         F.min(F.when(F.col("v") >= lo_f, F.col("v"))).alias("whisker_lo"),
         F.max(F.when(F.col("v") <= hi_f, F.col("v"))).alias("whisker_hi"),
         F.count_if((F.col("v") < lo_f) | (F.col("v") > hi_f)).cast("long").alias("n_outliers"),

@@ -81,6 +81,6 @@ def drop_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.drop(*cols)
 
 
-def exclude_baseline(df: DataFrame, col: str = "model") -> DataFrame:
-    """Rows whose model name does not mention a baseline or dummy (case-insensitive)."""
-    return df.where(~F.lower(F.col(col)).rlike("baseline|dummy"))
+def exclude_matching(df: DataFrame, col: str = "model", pattern: str = "baseline|dummy") -> DataFrame:
+    """Rows whose ``col`` does not match (case-insensitive); by default models that are no baseline."""
+    return df.where(~F.lower(q(col)).rlike(pattern))

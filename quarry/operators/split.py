@@ -9,8 +9,9 @@ and every run.
 
 No window over a whole class is used: the two cut points of each class are
 exact order statistics (:mod:`quarry.operators.order_stats`), and the split
-itself is a map-only projection against a broadcast table of one row per
-class.
+itself is a projection against a table of one row per class.  Rows that
+repeat the key of a cut point are numbered (distributed, by partition), so
+sizes are exact however often a key repeats.
 """
 
 from __future__ import annotations
@@ -18,18 +19,16 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.operators import order_stats
 from quarry.operators.profile import row_hash
 from quarry.operators.schema import q
+from quarry.session import materialize
 
-MAX_CLASSES = 100_000
 
-
-def approximate_mode(counts: list[int], n_draws: int) -> list[int]:
+def largest_remainder(counts: list[int], n_draws: int) -> list[int]:
     """Largest-remainder allocation of ``n_draws`` proportional to ``counts``.
 
     Remainder ties go to the earlier entry (``counts`` is in class order).
@@ -50,13 +49,36 @@ def split_sizes(counts: list[int], test_size: float = 0.2, val_size: float = 0.2
     """Per class (test, val, train) sizes of the two-step stratified split."""
     n = sum(counts)
     n_test = math.ceil(test_size * n)
-    temp = approximate_mode(counts, n - n_test)
+    temp = largest_remainder(counts, n - n_test)
     m = sum(temp)
     n_val = math.ceil(val_size * m)
-    train = approximate_mode(temp, m - n_val)
+    train = largest_remainder(temp, m - n_val)
     return [(c - t, t - tr, tr) for c, t, tr in zip(counts, temp, train)]
 
 
+def _largest_remainder(table: DataFrame, weight: str, draws: Column, out: str) -> DataFrame:
+    """``largest_remainder`` over a table of one row per class; ``draws`` may use the window sums."""
+    every = Window.partitionBy()
+    share = F.try_divide(F.col(weight), F.sum(weight).over(every)) * draws
+    table = table.withColumn("_share", F.coalesce(share, F.lit(0.0))).withColumn("_floor", F.floor("_share"))
+    table = table.withColumn("_need", draws - F.sum("_floor").over(every))
+    rank = F.row_number().over(Window.orderBy((F.col("_share") - F.col("_floor")).desc(), "_y"))
+    table = table.withColumn("_rank", rank)
+    return (table.withColumn(out, F.col("_floor") + (F.col("_rank") <= F.col("_need")).cast("long"))
+            .drop("_share", "_floor", "_need", "_rank"))
+
+
+def sizes_table(counts: DataFrame, test_size: float, val_size: float) -> DataFrame:
+    """``split_sizes`` for rows (_y, _n): adds n_test, n_val, n_train without passing the driver."""
+    every = Window.partitionBy()
+    total = F.sum("_n").over(every)
+    table = _largest_remainder(counts, "_n", (total - F.ceil(F.lit(test_size) * total)).cast("double"), "_temp")
+    total = F.sum("_temp").over(every)
+    table = _largest_remainder(table, "_temp", (total - F.ceil(F.lit(val_size) * total)).cast("double"), "n_train")
+    return (table.withColumn("n_test", F.col("_n") - F.col("_temp")).withColumn("n_val", F.col("_temp") - F.col("n_train"))
+            .drop("_temp"))
+
+
 @dataclass
 class Split:
     table: DataFrame
@@ -67,54 +89,66 @@ class Split:
 def stratified_split(df: DataFrame, target: str, key_cols: list[str] | None = None, seed: int = 42,
                      test_size: float = 0.2, val_size: float = 0.25) -> Split:
     """Add ``split`` in {'train', 'val', 'test'}; rows with a NULL target are left out."""
-    spark = df.sparkSession
-    keys = key_cols or [c for c in df.columns]
-    base = df.where(q(target).isNotNull())
-    h = row_hash(keys, seed)
-    hashed = (base.withColumn("_h", h)
-              .withColumn("_o", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long"))
-              .withColumn("_y", q(target)))
+    keys = key_cols or list(df.columns)
+    hashed = (df.withColumn("_h", row_hash(keys, seed)).withColumn("_y", q(target))
+              .withColumn("_o", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long")))
+    # the hash is worked out once; every pass below reads this narrow projection or the rows themselves
+    order = hashed.select("_y", "_o", "_h")
     # one pass: class sizes (with the NULL class) and the hash range of each class
-    allcounts = (df.withColumn("_o", F.conv(F.substring(h, 1, 15), 16, 10).cast("long"))
-                 .groupBy(q(target).alias("_y"))
-                 .agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
-                 .limit(MAX_CLASSES + 2).collect())
-    allcounts = sorted(allcounts, key=lambda r: (r["_y"] is not None, r["_y"]))
-    counts = [r for r in allcounts if r["_y"] is not None]
-    dropped = sum(int(r["_n"]) for r in allcounts if r["_y"] is None)
-    if len(counts) > MAX_CLASSES:
-        raise ValueError(f"{len(counts)} classes: the target is not categorical")
-    sizes = split_sizes([r["_n"] for r in counts], test_size, val_size) if counts else []
-    ttype = df.schema[target].dataType
-    size_rows = [(r["_y"], int(r["_n"]), *s) for r, s in zip(counts, sizes)]
-    size_df = spark.createDataFrame(size_rows, T.StructType([
-        T.StructField("_y", ttype), T.StructField("n", T.LongType()), T.StructField("n_test", T.LongType()),
-        T.StructField("n_val", T.LongType()), T.StructField("n_train", T.LongType())]))
-    asks = []
-    for (y, _n, t, v, _tr) in size_rows:
-        if t > 0:
-            asks.append((y, "t", t))
-        if v > 0:
-            asks.append((y, "v", t + v))
-    req = spark.createDataFrame(asks, T.StructType([T.StructField("_y", ttype), T.StructField("req", T.StringType()),
-                                                    T.StructField("k", T.LongType())]))
-    stats = spark.createDataFrame([(r["_y"], int(r["_n"]), r["_lo"], r["_hi"]) for r in counts],
-                                  T.StructType([T.StructField("_y", ttype), T.StructField("_cnt", T.LongType()),
-                                                T.StructField("_lo", T.LongType()), T.StructField("_hi", T.LongType())]))
-    cuts = order_stats.kth_smallest(hashed.select("_y", "_o", "_h"), "_o", req, ["_y"], tie="_h", stats=stats)
+    allcounts = order_stats.freeze(order.groupBy("_y").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi")))
+    dropped = allcounts.where(F.col("_y").isNull()).agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    counts = allcounts.where(F.col("_y").isNotNull())
+    sizes = order_stats.freeze(sizes_table(counts.select("_y", "_n"), test_size, val_size))
+    hashed = hashed.where(F.col("_y").isNotNull())
+    order = order.where(F.col("_y").isNotNull())
+    ends = F.array(F.struct(F.lit("t").alias("req"), F.col("n_test").alias("k"), F.col("n_test").alias("n")),
+                   F.struct(F.lit("v").alias("req"), (F.col("n_test") + F.col("n_val")).alias("k"), F.col("n_val").alias("n")))
+    asks = sizes.select("_y", F.explode(ends).alias("e")).where("e.n > 0").select("_y", "e.req", "e.k")
+    stats = counts.select("_y", F.col("_n").alias("_cnt"), "_lo", "_hi")
+    cuts = order_stats.kth_smallest(order, "_o", asks, ["_y"], tie="_h", stats=stats)
     wide = (cuts.groupBy("_y").pivot("req", ["t", "v"])
             .agg(F.first(F.struct(F.col("kth").alias("o"), F.col("kth_tie").alias("h")))))
-    wide = wide.select("_y", F.col("t.o").alias("_to"), F.col("t.h").alias("_th"),
-                       F.col("v.o").alias("_vo"), F.col("v.h").alias("_vh"))
-    # one row per class, computed once: the split itself is then a map-side broadcast join
-    wide = order_stats.freeze(wide)
-
-    def upto(o, hh):
-        return F.col(o).isNotNull() & ((F.col("_o") < F.col(o)) | ((F.col("_o") == F.col(o)) & (F.col("_h") <= F.col(hh))))
-
-    split = F.when(upto("_to", "_th"), "test").when(upto("_vo", "_vh"), "val").otherwise("train")
-    out = (hashed.join(F.broadcast(wide), "_y", "left")
-           .withColumn("split", split)
-           .select(*[q(c) for c in df.columns], "split"))
-    return Split(out, size_df.withColumnRenamed("_y", "class"), dropped)
-
+    # one row per class, computed once
+    wide = order_stats.freeze(sizes.select("_y", "n_test", "n_val").join(wide.select(
+        "_y", F.col("t.o").alias("_to"), F.col("t.h").alias("_th"), F.col("v.o").alias("_vo"), F.col("v.h").alias("_vh")),
+        "_y", "left"))
+
+    def below(o, h):
+        return (F.col("_o") < F.col(o)) | ((F.col("_o") == F.col(o)) & (F.col("_h") < F.col(h)))
+
+    def at(h):
+        return F.coalesce(F.col("_h") == F.col(h), F.lit(False))
+    joined = order_stats.join_small(hashed, wide, ["_y"])
+    columns = [q(c) for c in df.columns]
+    upto = [F.coalesce(below(o, h), F.lit(False)) | at(h) for o, h in (("_to", "_th"), ("_vo", "_vh"))]
+    plain = F.when(upto[0], "test").when(upto[1], "val").otherwise("train")
+
+    # keys at a cut point that repeat: number their rows and cut inside
+    spots = (order_stats.join_small(order, wide, ["_y"]).groupBy("_y")
+             .agg(F.count_if(at("_th")).alias("_eqt"), F.count_if(at("_vh")).alias("_eqv")))
+    repeated = order_stats.freeze(spots.where("_eqt > 1 OR _eqv > 1").select("_y"))
+    if not repeated.limit(1).count():
+        table = joined.select(*columns, plain.alias("split"))
+    else:
+        mine = order_stats.join_small(order, wide.join(repeated, "_y", "left_semi"), ["_y"])
+        less = order_stats.freeze(mine.groupBy("_y").agg(
+            F.count_if(F.coalesce(below("_to", "_th"), F.lit(False))).alias("_lt"),
+            F.count_if(F.coalesce(below("_vo", "_vh"), F.lit(False))).alias("_lv")))
+        tied = order_stats.join_small(joined, repeated.withColumn("_r", F.lit(True)), ["_y"], "left")
+        is_tied = F.coalesce(F.col("_r"), F.lit(False)) & (at("_th") | at("_vh"))
+        rest = tied.where(~is_tied).select(*columns, plain.alias("split"))
+        # written, so that the numbers given to the rows stay theirs
+        tied = materialize(tied.where(is_tied).drop("_r").withColumn("_p", F.spark_partition_id()))
+        group = ["_y", "_h"]
+        blocks = order_stats.freeze(tied.groupBy(*group, "_p").agg(F.count(F.lit(1)).alias("_c")))
+        before = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+        blocks = blocks.select(*group, "_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
+        inside = F.row_number().over(Window.partitionBy(*group, "_p").orderBy("_o"))
+        tied = order_stats.join_small(tied.withColumn("_i", inside), order_stats.freeze(blocks), [*group, "_p"])
+        tied = order_stats.join_small(tied, less, ["_y"])
+        rank = F.when(at("_th"), F.col("_lt")).otherwise(F.col("_lv")) + F.col("_before") + F.col("_i")
+        cut = F.when(rank <= F.col("n_test"), "test").when(rank <= F.col("n_test") + F.col("n_val"), "val").otherwise("train")
+        table = rest.unionByName(tied.select(*columns, cut.alias("split")))
+    out = sizes.select(F.col("_y").alias("class"), F.col("_n").alias("n"), *[F.col(c).cast("long").alias(c) for c in ("n_test", "n_val", "n_train")])
+    return Split(table, out, int(dropped))

@@ -21,15 +21,17 @@ if __package__ in (None, ""):
 from pyspark.sql import SparkSession  # noqa: E402
 
 from quarry.plans.run import RunParams, run_and_write  # noqa: E402
-from quarry.session import shared_dir  # noqa: E402
-from quarry.sources.csv import load_csv  # noqa: E402
+from quarry.session import shared_dir, ship_package  # noqa: E402
+from quarry.sources.csv import load_csv, nan_to_null  # noqa: E402
 
 
 def read_any(spark: SparkSession, path: str):
-    if path.rstrip("/").endswith(".parquet") or (os.path.isdir(path) and any(
-            f.endswith(".parquet") for f in os.listdir(path))):
-        return spark.read.parquet(path)
-    return load_csv(spark, path)
+    """Parquet if Spark's reader finds Parquet there (whatever the file system), else CSV."""
+    try:
+        df = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - not Parquet: the CSV reader reports what is wrong
+        return load_csv(spark, path)
+    return nan_to_null(df)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -44,8 +46,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--cuts", type=float, nargs="*", help="bin edges for --discretize manual")
     args = ap.parse_args(argv)
 
-    spark = SparkSession.builder.appName("quarry").getOrCreate()
+    # checkpoints go when the driver lets go of them
+    spark = (SparkSession.builder.appName("quarry").config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+             .getOrCreate())
     shared_dir(spark)
+    ship_package(spark)
     tables = [(os.path.splitext(os.path.basename(args.data.rstrip("/")))[0], read_any(spark, args.data), args.target)]
     if args.data2:
         tables.append((os.path.splitext(os.path.basename(args.data2.rstrip("/")))[0],

@@ -32,11 +32,13 @@ def emb(spark, sf):
 
 
 def _sil_sql(group: str) -> str:
-    """Exact silhouette of grouping ``group`` (an expression over e.label) of all embeddings."""
+    """Silhouette of grouping ``group`` (an expression over e.label): 1000 embeddings in hash order
+    against all."""
     return f"""
 g AS (SELECT vec_id, {group} AS c, v FROM e),
+sample AS (SELECT * FROM g ORDER BY md5(vec_id::VARCHAR || '|42') LIMIT 1000),
 d AS (SELECT a.vec_id AS i, a.c AS ci, b.c AS cj, sum(list_distance(a.v, b.v)) AS s, count(*) AS n
-      FROM g a, g b GROUP BY ALL),
+      FROM sample a, g b GROUP BY ALL),
 own AS (SELECT i, CASE WHEN n > 1 THEN s / (n - 1) END AS a, n FROM d WHERE ci = cj),
 oth AS (SELECT i, min(s / n) AS b FROM d WHERE ci <> cj GROUP BY i),
 sil AS (SELECT CASE WHEN own.n <= 1 OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END AS s
@@ -44,10 +46,11 @@ sil AS (SELECT CASE WHEN own.n <= 1 OR b IS NULL THEN 0 ELSE (b - a) / greatest(
 
 
 @register("silhouette_euclidean", f"""WITH {EMB_SQL},{_sil_sql('label')}
-SELECT count(*) AS n_sample, round(avg(s), 6) AS silhouette FROM sil""")
+SELECT count(*) AS n_sample, (SELECT count(*) FROM g) AS n_rows, round(avg(s), 6) AS silhouette FROM sil""")
 def q_silhouette(spark, sf):
-    s = K.silhouette_euclidean(emb(spark, sf), "features", "label", ["vec_id"])
-    return s.select("n_sample", r6(F.col("silhouette")).alias("silhouette"))
+    # the sample is the operator K1: 1000 rows in hash order, at every size
+    s = K.silhouette_euclidean(emb(spark, sf), "features", "label", ["vec_id"], sample=1000)
+    return s.select("n_sample", "n_rows", r6(F.col("silhouette")).alias("silhouette"))
 
 
 def _best_k_sql() -> str:
@@ -63,7 +66,7 @@ def q_best_k(spark, sf):
     e = emb(spark, sf)
     for k in range(2, 7):
         e = e.withColumn(f"g{k}", F.col("label") % k)
-    s = K.silhouettes(e, {k: f"g{k}" for k in range(2, 7)}, "features", ["vec_id"])
+    s = K.silhouettes(e, {k: f"g{k}" for k in range(2, 7)}, "features", ["vec_id"], sample=1000)
     t = s.select(F.col("name").cast("int").alias("k"), r6(F.col("silhouette")).alias("silhouette"))
     return K.best_k_table(t)
 
@@ -106,7 +109,7 @@ def _sweep(spark, sf):
 
 @register("kmeans_sweep")
 def q_kmeans_sweep(spark, sf):
-    return _sweep(spark, sf).table.select("k", F.round("inertia", 4).alias("inertia"),
+    return _sweep(spark, sf).table.select("k", F.round("inertia", 4).alias("inertia"), "n_sample", "n_rows",
                                           F.round("silhouette", 4).alias("silhouette"))
 
 
@@ -345,10 +348,12 @@ def q_sink(spark, sf):
 
 
 @register("csv_autodetect", """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""")
+SELECT doc_id, text || ' "' || lang || '"; ' || source AS note, lang, source, n_chars FROM documents""")
 def q_csv(spark, sf):
-    path = f"{shared_dir(spark).rstrip('/')}/sources/orders_semicolon_csv-{uuid.uuid4().hex}"
-    o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                                               "o_orderpriority")
-    o.write.mode("overwrite").option("header", True).option("sep", ";").csv(path)
+    """Texts with quotes, separators and line breaks, through a semicolon file and back."""
+    path = f"{shared_dir(spark).rstrip('/')}/sources/documents_semicolon_csv-{uuid.uuid4().hex}"
+    note = F.concat("text", F.lit(' "'), "lang", F.lit('"; '), "source").alias("note")
+    d = read_table(spark, sf, "documents").select("doc_id", note, "lang", "source", "n_chars")
+    (d.write.option("header", True).option("sep", ";").option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
     return csvsrc.load_csv(spark, path)

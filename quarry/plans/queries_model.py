@@ -261,13 +261,13 @@ def q_f1_binary(spark, sf):
 
 
 @register("roc_curve", f"""WITH {DOCS_SQL},
-sc AS (SELECT model, score, count_if(y = 1) AS p, count_if(y <> 1) AS q FROM preds GROUP BY ALL),
+sc AS (SELECT model, score, count_if(y = 1) AS p, count_if(y <> 1) AS q FROM preds WHERE split = 'test' GROUP BY ALL),
 cu AS (SELECT *, sum(p) OVER w AS tps, sum(q) OVER w AS fps,
               sum(p) OVER (PARTITION BY model) AS tp_all, sum(q) OVER (PARTITION BY model) AS fp_all
        FROM sc WINDOW w AS (PARTITION BY model ORDER BY score DESC ROWS UNBOUNDED PRECEDING))
 SELECT model, score AS threshold, round(fps / fp_all, 6) AS fpr, round(tps / tp_all, 6) AS tpr FROM cu""")
 def q_roc(spark, sf):
-    p = doc_preds(docs_split(spark, sf))
+    p = doc_preds(docs_split(spark, sf)).where(F.col("split") == "test")
     r = M.roc_curve(p, ["model"])
     return r.select("model", "threshold", r6(F.col("fpr")).alias("fpr"), r6(F.col("tpr")).alias("tpr"))
 
@@ -297,7 +297,8 @@ tab AS (SELECT model, ord, split, round(accuracy, 6) AS accuracy, round(f1, 6) A
 
 @register("comparison_table", f"{TABLE_SQL}\nSELECT * FROM tab")
 def q_comparison(spark, sf):
-    return _table(spark, sf)
+    t = _table(spark, sf)
+    return M.comparison_table(*[t.where(F.col("split") == s).drop("split") for s in ("val", "test")]).select(*t.columns)
 
 
 @register("best_model", f"""{TABLE_SQL}

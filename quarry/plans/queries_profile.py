@@ -50,8 +50,7 @@ SELECT event_id, user_id FROM events
 WHERE value IS NOT NULL AND NOT regexp_matches(lower(event_type), 'view|click')""")
 def q_filters(spark, sf):
     e = read_table(spark, sf, "events")
-    return (e.where(F.col("value").isNotNull())
-            .where(~F.lower(F.col("event_type")).rlike("view|click"))
+    return (schema.exclude_matching(e.where(F.col("value").isNotNull()), "event_type", "view|click")
             .select("event_id", "user_id"))
 
 

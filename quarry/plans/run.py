@@ -13,6 +13,7 @@ import sys
 import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from quarry.operators import metrics as M
 from quarry.operators import profile as P
 from quarry.operators.clean import clean_table
 from quarry.operators.discretize import discretize_target
-from quarry.operators.schema import classify_columns, column_summary, detect_target, q
+from quarry.operators.schema import classify_columns, column_summary, detect_target, dtype_counts, q
 from quarry.operators.split import stratified_split
 from quarry.session import materialize
 from quarry.sources.sink import write_results
@@ -49,6 +50,13 @@ class RunParams:
     num_trees: int = 200
     forest_depth: int = 30
     max_bins: int = 64
+    max_classes: int = 1000   # more classes raise, before any costly step
+    max_slots: int = 10_000   # one-hot slots of a column; more values share them by hash
+
+
+#: Names the run gives to columns of its own; a user's column of such a name is renamed inside.
+RESERVED = {"split", "features", "label", "model", "ord", "y", "pred", "probs", "score", "cluster", "prediction",
+            "probability", "rawprediction"}
 
 
 @dataclass
@@ -77,6 +85,14 @@ def _phase(name: str):
         print(f"[quarry] {name}: {time.perf_counter() - t0:.2f}s", file=sys.stderr, flush=True)
 
 
+def _shown(slot: str, shown: dict[str, str]) -> str:
+    """A vector slot's name with the user's own column name."""
+    for inside, own in shown.items():
+        if slot == inside or slot.startswith(f"{inside}_"):
+            return own + slot[len(inside):]
+    return slot
+
+
 def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None = None) -> RunResult:
     p = params or RunParams()
     spark = df.sparkSession
@@ -86,11 +102,12 @@ def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None
     with _phase("clean"):
         if p.clean:
             cr = clean_table(df)
-            data = cr.table
+            data = materialize(cr.table)  # the one copy that all later steps read
             t["cleaning_audit"] = cr.audit
         else:
             data = df
     t["column_summary"] = column_summary(data)
+    t["dtype_counts"] = dtype_counts(data)
 
     # 2. target, 3. discretization
     target = detect_target(data, p.target)
@@ -106,26 +123,33 @@ def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None
     t["target_distribution"] = P.target_distribution(data, target)
 
     # 5. split
+    classes = C.class_labels(data, target, p.max_classes)
+    inside = {c: f"{c}__column" for c in data.columns if c.lower() in RESERVED}
+    shown = {v: k for k, v in inside.items()}
+    data = data.withColumnsRenamed(inside)
+    target_name, target = target, inside.get(target, target)
+    keys = [inside.get(c, c) for c in p.key_cols] if p.key_cols else None
     with _phase("split"):
-        sp = stratified_split(data, target, p.key_cols, p.seed)
+        sp = stratified_split(data, target, keys, p.seed)
     data = sp.table
     t["split_sizes"] = sp.sizes
+    t["run_facts"] = spark.createDataFrame(
+        [(name, target_name, d.continuous, d.method, d.threshold, sp.dropped_null_target)],
+        "dataset string, target string, continuous boolean, method string, threshold double, dropped_null_target bigint")
 
     # 6. features, fitted on train only, materialized once for all consumers
     num, cat = classify_columns(data.drop("split"), target)
-    if cat:
-        # free text / identifiers cannot become one-hot slots at scale: left out and listed
-        card = data.where(F.col("split") == "train").agg(
-            *[F.approx_count_distinct(q(c)).alias(f"d{i}") for i, c in enumerate(cat)]).first()
-        wide = [(c, int(card[f"d{i}"])) for i, c in enumerate(cat) if card[f"d{i}"] > X.MAX_CATEGORIES * 0.9]
-        cat = [c for c in cat if c not in {w[0] for w in wide}]
-        t["excluded_features"] = spark.createDataFrame(wide, "column string, approx_distinct bigint")
+    if not num and not cat:
+        raise ValueError("the table has no column beside its target")
     with _phase("features"):
-        fm = X.fit_features(data, num, cat)
+        fm = X.fit_features(data, num, cat, max_slots=p.max_slots)
+        fm.names = [_shown(n, shown) for n in fm.names]
         t["feature_names"] = X.feature_names(fm)
-        classes = C.class_labels(data, target)
+        t["hashed_features"] = spark.createDataFrame([(shown.get(c, c),) for c in fm.hashed], "column string")
         feats = C.with_label(fm.transform(data), target, classes)
-        feats = materialize(feats.select(*[q(c) for c in data.columns], "features", "label"))
+        # what later steps read: the numbers for the profiles, not the raw text columns
+        kept = dict.fromkeys([target, "split", *num, *(keys or [])])
+        feats = materialize(feats.select(*[q(c) for c in kept], "features", "label"))
     train = feats.where(F.col("split") == "train")
 
     # 7. baseline
@@ -136,14 +160,15 @@ def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None
     n_train = train.count()
     if n_train - 1 >= p.k_min:
         with _phase("kmeans"):
-            sweep = K.kmeans_sweep(train, "features", p.k_min, p.k_max, p.n_init, p.seed, p.key_cols, p.sample)
+            sweep = K.kmeans_sweep(train, "features", p.k_min, p.k_max, p.n_init, p.seed, keys, p.sample)
         with _phase("ward"):
-            ward = K.ward_clusters(train, "features", p.k_min, p.k_max, p.micro, p.seed, p.key_cols, p.sample)
+            ward = K.ward_clusters(train, "features", p.k_min, p.k_max, p.micro, p.seed, keys, p.sample)
         t["kmeans_sweep"] = sweep.table
         t["ward_sweep"] = ward.table
         t["linkage"] = ward.linkage
         best = sweep.models[sweep.best_k].transform(train)
-        t["cluster_profile"] = K.cluster_profile(best, "cluster", num)
+        t["cluster_profile"] = K.cluster_profile(best, "cluster", num).replace(shown, subset=["column"]) if shown else (
+            K.cluster_profile(best, "cluster", num))
         t["cluster_profile_norm"] = K.cluster_profile_norm(t["cluster_profile"])
         t["cluster_sizes"] = K.cluster_sizes(best, "cluster")
     else:
@@ -198,8 +223,19 @@ def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None
         t["top_confusions"] = tc
         t["recommendations"] = M.multiclass_recommendations(cp, tc, cm)
 
+    # 12. bands of the headline figures
+    best = table.where((F.col("split") == "test") & (F.col("model") == best_name))
+    figures = [best.select(F.lit(m).alias("metric"), F.col(c).alias("value")) for m, c in (("auc", "auc"), ("f1_best", "f1"))]
+    figures += [t["metrics_global"].select(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("kappa", "mcc")]
+    figures += [t["cluster_summary"].select(F.lit("silhouette").alias("metric"), F.col(f"{m}_silhouette").alias("value"))
+                for m in ("kmeans", "ward")]
+    if binary:
+        figures += [bm.select(F.lit(m).alias("metric"), F.col(m).alias("value"))
+                    for m in ("accuracy", "precision", "recall", "specificity", "f1", "fpr", "fnr")]
+    t["kpi_bands"] = M.kpi_bands(reduce(DataFrame.unionByName, figures))
+
     rows = t["shape"].first()
-    return RunResult(name, target, int(rows["n_rows"]), int(rows["n_cols"]), t)
+    return RunResult(name, target_name, int(rows["n_rows"]), int(rows["n_cols"]), t)
 
 
 def compare_runs(a: RunResult, b: RunResult) -> dict[str, DataFrame]:

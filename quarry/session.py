@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -15,11 +18,16 @@ TABLES = (
 
 def get_spark(master: str | None = None, app: str = "quarry",
               shuffle_partitions: int | None = None) -> SparkSession:
-    """Local session for tests and benches; on a cluster spark-submit supplies the master."""
+    """A session: spark-submit's master and driver memory if it gives them, else a local one."""
     cpus = os.environ.get("BENCH_CPUS", "8")
+    builder = SparkSession.builder.appName(app)
+    settings = SparkConf()
+    if master or not settings.contains("spark.master"):
+        builder = builder.master(master or f"local[{cpus}]")
+    if not settings.contains("spark.driver.memory"):
+        builder = builder.config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "8g"))
     builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app)
+        builder
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -27,7 +35,6 @@ def get_spark(master: str | None = None, app: str = "quarry",
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
@@ -56,6 +63,20 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors as a zip, so that their Python workers can import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quarry_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="quarry-zip-")) / "quarry.zip"  # the driver serves it
+    with zipfile.ZipFile(target, "w") as z:
+        for path in sorted(here.rglob("*.py")):
+            z.write(path, path.relative_to(here.parent))
+    sc.addPyFile(str(target))
+    sc._quarry_shipped = True
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder.
 

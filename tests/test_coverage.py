@@ -2,7 +2,7 @@
 
 import os
 
-import __spark_entry__ as E
+from quarry.plans import catalog as E
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 

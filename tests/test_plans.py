@@ -3,7 +3,7 @@ and the scans read only the columns they need."""
 
 import pytest
 
-import __spark_entry__ as E
+from quarry.plans import catalog as E
 
 SF = "/root/testdata/sf0.001"
 QUERIES = E.queries()
