@@ -43,6 +43,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--output", default="output")
     ap.add_argument("--discretize", default="quantile", choices=["quantile", "uniform", "median", "mean", "manual"])
     ap.add_argument("--n_bins", type=int, default=3)
+    ap.add_argument("--n_init", type=int, default=10, help="K-means starts per k")
+    ap.add_argument("--num_trees", type=int, default=200)
     ap.add_argument("--cuts", type=float, nargs="*", help="bin edges for --discretize manual")
     args = ap.parse_args(argv)
 
@@ -55,7 +57,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.data2:
         tables.append((os.path.splitext(os.path.basename(args.data2.rstrip("/")))[0],
                        read_any(spark, args.data2), args.target2))
-    params = [RunParams(target=t, method=args.discretize, n_bins=args.n_bins, cuts=args.cuts) for _, _, t in tables]
+    params = [RunParams(target=t, method=args.discretize, n_bins=args.n_bins, cuts=args.cuts, n_init=args.n_init,
+                        num_trees=args.num_trees) for _, _, t in tables]
     listing = run_and_write([(n, d) for n, d, _ in tables], args.output, params)
     listing.show(200, truncate=False)
 
