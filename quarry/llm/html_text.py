@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.shared import small_batches
+
 #: Element classes of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -263,6 +265,8 @@ def page_texts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     row, repeated rows and null ids included; an empty table gives an empty result; other columns are
     not read.  Broken markup (unclosed tags, quotes or comments) never fails a page.
     """
+    small_batches(pages.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

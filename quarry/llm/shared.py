@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,8 +13,22 @@ from pyspark.sql import functions as F
 
 from quarry.session import shared_dir
 
+#: Rows and bytes of a batch on its way to a Python worker; the JVM and the worker hold a few at a time.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session (lower limits of the user's own stay)."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = int(re.sub(r"\D", "", spark.conf.get(key)) or 0)
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new, unused path below ``spark.checkpoint.dir``."""
+    small_batches(spark)
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import Remembered
+from quarry.llm.shared import Remembered, small_batches
 
 #: Fixed value: the byte-level pre-tokeniser's pattern.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -124,6 +124,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     ids included; an empty table gives none; other columns are not read.  A special token's string
     inside a text counts as one token, as the library has it by default.
     """
+    small_batches(docs.sparkSession)
     with open(tokenizer_path, "rb") as f:
         vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary: a few MB
 
