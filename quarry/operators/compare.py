@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.schema import exclude_matching
+
 METRICS = ["accuracy", "f1", "auc"]
 
 
@@ -39,7 +41,7 @@ def compare_models(ta: DataFrame, tb: DataFrame, name_a: str = "A", name_b: str
 
 def compare_winner(comp: DataFrame, name_a: str = "A", name_b: str = "B") -> DataFrame:
     """Q3: mean test F1 without baselines per table; winner, loser and difference (a tie goes to B)."""
-    m = (comp.where(~F.lower(F.col("model")).rlike("baseline|dummy"))
+    m = (exclude_matching(comp)
          .groupBy("dataset").agg(F.avg("f1").alias("f1_mean")))
     means = {r["dataset"]: r["f1_mean"] for r in m.collect()}
     va, vb = means.get(name_a), means.get(name_b)
@@ -70,7 +72,7 @@ def metric_matrix(comp: DataFrame) -> DataFrame:
 def metric_deltas(comp: DataFrame, name_a: str = "A", name_b: str = "B") -> DataFrame:
     """Q6: best test model of each table (highest F1, no baseline, first in order on a tie);
     B - A for accuracy (in points), F1 and AUC (NULL when either AUC is missing or 0)."""
-    c = comp.where(~F.lower(F.col("model")).rlike("baseline|dummy"))
+    c = exclude_matching(comp)
     w = Window.partitionBy("dataset").orderBy(F.col("f1").desc(), F.col("ord").asc())
     best = {r["dataset"]: r for r in c.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).collect()}
     a, b = best.get(name_a), best.get(name_b)
