@@ -365,6 +365,33 @@ def test_lines_of_awkward_rows(spark):
     assert without_repeated_lines(rows).columns == rows.columns and repeated_lines(empty(spark)).count() == 0
 
 
+def test_lines_that_differ_in_words_or_letters_are_found(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(3000)]
+    texts, planted = [], []
+    for n in (6, 10, 15, 25, 40, 80) * 60:
+        w = [rng.choice(words) for _ in range(n)]
+        v = list(w)
+        if len(planted) % 3:  # words replaced
+            for _ in range(rng.randrange(1, 1 + max(1, n // 15))):
+                v[rng.randrange(n)] = rng.choice(words)
+            b = " ".join(v)
+        else:  # single letters
+            b = list(" ".join(v))
+            for _ in range(max(1, len(b) // 25)):
+                b[rng.randrange(len(b))] = rng.choice("abcdefgh")
+            b = "".join(b)
+        a = " ".join(w)
+        if a != b and edit_distance(a, b) <= 0.1 * max(len(a), len(b)):
+            planted.append((2 * len(texts), a))
+            texts += [(2 * len(texts), a), (2 * len(texts) + 1, b)]
+        else:
+            planted.append(None)
+    texts = [(i, t) for i, (_, t) in enumerate(texts)]
+    got = {r["doc_id"] for r in repeated_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert len(texts) > 400 and len(got & set(range(1, len(texts), 2))) >= 0.97 * len(texts) / 2
+
+
 # --- 9 near-duplicates ----------------------------------------------------------------------------
 
 
