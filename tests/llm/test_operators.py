@@ -437,6 +437,41 @@ def test_groups_match_brute_force(spark, docs, region, block, monkeypatch):
     assert got == brute_groups(texts)
 
 
+@pytest.mark.parametrize("similarity", [0.8, 0.85])
+def test_pairs_in_a_crowd_share_a_deep_region(similarity):
+    from quarry.llm import near_dup
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 1 << 32, (100_000, near_dup.HASHES), dtype=np.uint32)
+    b = np.where(rng.random(a.shape) < similarity, a, a + np.uint32(1))
+    sets = pa.record_batch([pa.array([r.tobytes() for r in x], pa.binary()) for x in (a, b)], ["a", "b"])
+    met = np.zeros(len(a), bool)
+    for t in range(near_dup.TREES):
+        rows = [{(r, d): k for batch in near_dup._deep_rows([pa.record_batch(
+                    [sets[c], pa.array(np.arange(len(a))), pa.array(np.full(len(a), t, np.int32))], ["sig", "rep", "tree"])])
+                 for r, d, k in [(batch["tree"][0].as_py(), batch["depth"][0].as_py(), batch["key"].to_numpy())]} for c in "ab"]
+        for (tree, depth), key in rows[0].items():
+            if depth == near_dup.DEEP:
+                met |= key == rows[1][tree, depth]
+    assert (~met).mean() <= 1e-4
+
+
+def test_separate_pairs_in_a_template_crowd(spark, monkeypatch):
+    from quarry.llm import near_dup
+    monkeypatch.setattr(near_dup, "REGION", 2)
+    rng = random.Random(9)
+
+    def some(n):
+        return [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    template, texts = some(200), []
+    for n in range(250):
+        own = some(125)
+        texts += [(2 * n, " ".join(template + own)), (2 * n + 1, " ".join(template + own[:92] + some(33)))]
+    true = brute_groups(texts, 80)
+    assert len({c for _, c in true.values()}) == 250
+    got = near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), percent=80).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == true
+
+
 def test_groups_of_awkward_rows(spark):
     rows = awkward(spark)
     got = near_duplicates(rows).collect()
