@@ -7,7 +7,11 @@ with those of the benchmark, so a question asked again with other numbers or nam
 A match at one alignment counts only if its slots are consistent: wherever the item repeats a value,
 the document repeats the value it put there.
 
-An item has leaked into a document when the consistent windows cover ``SHARE`` of the item's windows
+A window of ``SIZE`` plain words (case-folded, nothing replaced) is matched beside it, for copies whose
+names are in another case and for items dense in numbers or names.  What is too short for a window is
+one window of all it has.
+
+An item has leaked into a document when, of one kind, the consistent windows cover ``SHARE`` of the item's windows
 or ``LONG`` of them.  The benchmark's window hashes reach the tasks as a bitmap of fixed size that lets
 through nearly nothing else; the join itself is an ordinary hash join of what is left.
 """
@@ -61,13 +65,13 @@ def _known(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[at] == hashes
 
 
-def template(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(template hashes, original hashes, is-slot, template offsets of the texts)."""
+def template(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(template hashes, original hashes, is-slot, template offsets of the texts, plain words, their offsets)."""
     starts, ends, word = K.words(buf, offsets, K.LETTERS)
     spans = np.searchsorted(starts, offsets)
     n = len(word)
     if not n:
-        return word, word, np.zeros(0, bool), spans
+        return word, word, np.zeros(0, bool), spans, word, spans
     opening = np.zeros(n, bool)  # first of its text
     opening[spans[:-1][spans[:-1] < n]] = True
     head = buf[starts]
@@ -92,46 +96,61 @@ def template(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     value = K.run_hashes(word, np.append(keep, n))
     kind = kind[keep]
     slots = np.where(kind > 0, np.array([0, *_SLOT], np.uint64)[kind], word[keep])
-    return slots, value, kind > 0, np.searchsorted(keep, spans)
+    return slots, value, kind > 0, np.searchsorted(keep, spans), word, spans
+
 
+def _runs(words: np.ndarray, spans: np.ndarray, size: int, plain: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first word of each run of ``size`` words; runs of another kind or length never agree."""
+    hashes, at = K.windows(words, spans, size)
+    return K.mix(hashes ^ K.U64(2 * size + plain)), at
 
-def _template_windows(buf: np.ndarray, offsets: np.ndarray):
-    """(text, place, window hash, values of its slots) of windows with enough words; a shorter text is
-    one window of all it has."""
-    slots, value, slot, spans = template(buf, offsets)
-    sizes = np.diff(spans)
-    hashes, at = K.windows(slots, spans, SIZE)
+
+def _all_windows(buf: np.ndarray, offsets: np.ndarray, lengths: list[tuple[int, int]] | None):
+    """(plain, words, text, place, hash, at, is-slot, values) of each kind and length of window: those in
+    ``lengths``, or for items (None) the windows of ``SIZE`` and else one of all the text has."""
+    slots, value, slot, spans, word, word_spans = template(buf, offsets)
     known = np.concatenate([[0], np.cumsum(~slot)])
-    enough = known[at + SIZE] - known[at] >= LITERALS
-    hashes, at = hashes[enough], at[enough]
-    text = np.searchsorted(spans, at, "right") - 1
-    return text, at, hashes, spans, sizes, slot, value
+    for plain, words, cut in ((0, slots, spans), (1, word, word_spans)):
+        sizes = np.diff(cut)
+        # a template needs so many literal words: what has fewer is compared by its plain words
+        for size in [n for k, n in lengths if k == plain] if lengths is not None else range(1 if plain else LITERALS, SIZE + 1):
+            hashes, at = _runs(words, cut, size, bool(plain))
+            text = np.searchsorted(cut, at, "right") - 1
+            keep = np.ones(len(at), bool) if plain else known[at + size] - known[at] >= LITERALS
+            if lengths is None and size < SIZE:
+                keep &= sizes[text] == size
+            yield plain, size, text[keep], (at - cut[text])[keep], hashes[keep], at[keep], slot, value
 
 
 def _slot_values(at: int, size: int, slot: np.ndarray, value: np.ndarray) -> bytes:
     """Value of each template word of a window if it is a slot, else 0."""
-    return np.where(slot[at : at + size], value[at : at + size], K.U64(0)).tobytes()
+    values = np.zeros(SIZE, np.uint64)
+    values[:size] = np.where(slot[at : at + size], value[at : at + size], K.U64(0))
+    return values.tobytes()
+
 
+def _windows(wanted, key: str, lengths: list[tuple[int, int]] | None = None):
+    """Rows (key, plain, size, place, h, slots) of the windows; of documents only those the bitmap lets through."""
+    nothing = bytes(8 * SIZE)
 
-def _windows(wanted, key: str):
-    """Rows (key, place, h, slots) of the windows; of documents only those the bitmap lets through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, buf, offsets in K.slices(batch["text"]):
-                text, at, hashes, spans, _, slot, value = _template_windows(buf, offsets)
-                if wanted is not None:
-                    hit = in_bitmap(wanted.value, hashes)
-                    text, at, hashes = text[hit], at[hit], hashes[hit]
-                ids = batch[key][i:j].take(pa.array(text))
-                values = [_slot_values(a, SIZE, slot, value) for a in at.tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(at - spans[text]), pa.array(hashes.view(np.int64)), pa.array(values, pa.binary())],
-                    [key, "place", "h", "slots"])
+                for plain, size, text, place, hashes, at, slot, value in _all_windows(buf, offsets, lengths):
+                    if wanted is not None:
+                        hit = in_bitmap(wanted.value, hashes)
+                        text, place, hashes, at = text[hit], place[hit], hashes[hit], at[hit]
+                    n = len(at)
+                    values = [nothing] * n if plain else [_slot_values(a, size, slot, value) for a in at.tolist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch[key][i:j].take(pa.array(text)), pa.array(np.full(n, plain, np.int64)),
+                         pa.array(np.full(n, size, np.int64)), pa.array(place), pa.array(hashes.view(np.int64)),
+                         pa.array(values, pa.binary())], [key, "plain", "size", "place", "h", "slots"])
     return run
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, item_id, shift, item place, item value, document value) of each window match: a row a
+    """(doc_id, item_id, plain, shift, item place, item value, document value) of each window match: a row a
     slot, and one without values for the window itself."""
     for batch in batches:
         n = batch.num_rows
@@ -144,8 +163,8 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = [pa.array(np.concatenate([np.zeros(n, np.int64), x[row, slot]]),
                            mask=np.concatenate([~nothing, np.zeros(len(row), bool)])) for x in (item, doc)]
         take = pa.array(rows)
-        yield pa.RecordBatch.from_arrays([batch[c].take(take) for c in ("doc_id", "item_id", "shift", "place")] + values,
-                                         ["doc_id", "item_id", "shift", "place", "item_value", "doc_value"])
+        yield pa.RecordBatch.from_arrays([batch[c].take(take) for c in ("doc_id", "item_id", "plain", "shift", "place")] + values,
+                                         ["doc_id", "item_id", "plain", "shift", "place", "item_value", "doc_value"])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -153,30 +172,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """(doc_id, item_id, windows, item_windows): documents that hold a benchmark item, maybe with other
     numbers, names or units.
 
-    Null or empty texts, and texts of fewer than ``SIZE`` template words, have no windows and leak
-    nothing; rows with a null id take no part; rows that repeat an id are read as one document,
+    ``windows`` counts template windows, or plain ones where the template alone does not tell.  An item
+    of fewer than ``SIZE`` words is found where all of it stands in one run, be it a single word.  Null
+    texts and texts without words leak nothing; rows with a null id take no part; rows that repeat an id are read as one document,
     repeated items as one.  Empty tables give an empty result.  Other columns are not read.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
-    kind = "{} long, place long, h long, slots binary"
+    kind = "{} long, plain long, size long, place long, h long, slots binary"
     theirs = stored(items.where("item_id IS NOT NULL").mapInArrow(_windows(None, "item_id"), kind.format("item_id"))
                     .distinct(), "items")
     wanted = spark.sparkContext.broadcast(bitmap_of(theirs, "h"))
+    lengths = sorted((r["plain"], r["size"]) for r in theirs.select("plain", "size").distinct().collect())  # 2 x SIZE at most
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ours = rows.where("doc_id IS NOT NULL").mapInArrow(_windows(wanted, "doc_id"), kind.format("doc_id"))
-    met = ours.withColumnRenamed("place", "at").join(theirs.withColumnRenamed("slots", "item_slots"), "h")
-    met = met.select("doc_id", "item_id", (F.col("at") - F.col("place")).alias("shift"), "place", "slots", "item_slots")
-    seen = stored(met.mapInArrow(_pairs, "doc_id long, item_id long, shift long, place long, item_value long, doc_value long"),
+    ours = rows.where("doc_id IS NOT NULL").mapInArrow(_windows(wanted, "doc_id", lengths), kind.format("doc_id"))
+    met = ours.select("doc_id", "h", "slots", F.col("place").alias("at")).join(theirs.withColumnRenamed("slots", "item_slots"), "h")
+    met = met.select("doc_id", "item_id", "plain", (F.col("at") - F.col("place")).alias("shift"), "place", "slots", "item_slots")
+    seen = stored(met.mapInArrow(_pairs, "doc_id long, item_id long, plain long, shift long, place long, item_value long, doc_value long"),
                   "matches")
-    spot = ["doc_id", "item_id", "shift"]
+    spot = ["doc_id", "item_id", "plain", "shift"]
     broken = (seen.where("item_value IS NOT NULL").groupBy(*spot, "item_value")
               .agg(F.min("doc_value").alias("a"), F.max("doc_value").alias("b")).where("a <> b").select(*spot).distinct())
     covered = (seen.where("item_value IS NULL").select(*spot, "place").join(broken, spot, "left_anti")
-               .groupBy("doc_id", "item_id").agg(F.count_distinct("place").alias("windows")))
-    sizes = theirs.groupBy("item_id").agg(F.count_distinct("place").alias("item_windows"))
+               .groupBy("doc_id", "item_id", "plain").agg(F.count_distinct("place").alias("windows")))
+    sizes = theirs.groupBy("item_id", "plain").agg(F.count_distinct("place").alias("item_windows"))
     enough = F.col("windows") >= F.least(F.lit(LONG), F.ceil(F.col("item_windows") * SHARE))
-    return covered.join(sizes, "item_id").where(enough).select("doc_id", "item_id", "windows", "item_windows")
+    found = covered.join(sizes, ["item_id", "plain"]).where(enough)
+    first = F.min(F.struct("plain", "windows", "item_windows")).alias("x")
+    return found.groupBy("doc_id", "item_id").agg(first).select("doc_id", "item_id", "x.windows", "x.item_windows")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -277,6 +277,19 @@ def test_other_numbers_and_names_leak_only_when_consistent(spark):
     assert without_leaks(rows, bench).columns == rows.columns
 
 
+def test_short_dense_and_recased_items_leak(spark):
+    named = "Maria Lopez met Ivan Petrov and Anna Schmidt near Big Ben before Tom Hill left for New York"
+    items = ["What is the capital of France?", "12 + 7 = 19", "3 1 4 1 5 9 2 6 5 3 5 8 9 7 9 3", "Name the longest river", named]
+    bench = spark.createDataFrame([*enumerate(items), (9, "?!"), (10, None)], "item_id long, text string")
+    texts = [(n, f"some words go here first, then {t} and more words follow") for n, t in enumerate(items)]
+    texts += [(10 + n, f"SOME WORDS; {t.upper()} AND MORE") for n, t in enumerate(items)]
+    texts += [(20, items[0]), (21, named.lower()), (22, "What is the capital of Spain?"), (23, "12 + 7 = 20"),
+              (24, "3 1 4 1 5 9 9 9 9 9 9 9 9 9 9 9"), (25, "name the second longest river"), (26, "capital of France"),
+              (27, "what is the"), (28, "capital of france?")]
+    got = {(r["doc_id"], r["item_id"]) for r in leaks(awkward(spark, texts), bench).collect()}
+    assert got == {(n, n) for n in range(5)} | {(10 + n, n) for n in range(5)} | {(20, 0), (21, 4), (22, 0)}  # 22: another name
+
+
 # --- 7 HTML ---------------------------------------------------------------------------------------
 
 
