@@ -51,7 +51,11 @@ golpear""".split()
 OTHER, TARGET, NEGATION, REPORT, INTENT, THREAT, WEAK, MIDDLE, STRONG = range(9)
 STRENGTH = {WEAK: 1.0, MIDDLE: 2.0, STRONG: 3.0, THREAT: 1.0}
 ENDS = 16  # added to a symbol when its word ends a clause
-_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+#: Letters (and marks) of scripts that set no spaces between words.
+_DENSE = "\u0e00-\u0e4e\u0e80-\u0ece\u1000-\u103f\u1780-\u17d3\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+#: Marks that end a clause.
+_MARKS = ".!?;:。！？；：｡"
+_PIECE = re.compile(rf"([{_DENSE}]+)|((?:(?![{_DENSE}])[^\W\d_])+(?:'(?:(?![{_DENSE}])[^\W\d_])+)*)|([{_MARKS}])")
 _HIT = re.compile(b"[" + b"".join(re.escape(bytes([s + e])) for s in STRENGTH for e in (0, ENDS)) + b"]")
 
 
@@ -109,8 +113,21 @@ def stems(word: str) -> Iterator[str]:
         yield f"{word[:n]}*"
 
 
+def pieces(text: str) -> Iterator[str]:
+    """Words and clause marks of a text in small letters; a run of a script without spaces gives its pairs of letters."""
+    for run, word, mark in _PIECE.findall(text):
+        if run:
+            yield from (run[i : i + 2] for i in range(max(1, len(run) - 1)))
+        else:
+            yield word or mark
+
+
+def small(text: str) -> str:
+    return text.lower().replace("’", "'")
+
+
 class Symbols(Remembered):
-    """Symbol of each white-space token as it stands, worked out when first met."""
+    """Symbols of the words of each white-space token as it stands, worked out when first met."""
 
     def __init__(self, lexicon: dict[str, int]):
         super().__init__(400_000)
@@ -118,21 +135,32 @@ class Symbols(Remembered):
         self.known |= dict.fromkeys(INTENTS, INTENT) | dict.fromkeys(THREATS, THREAT)
         self.known = lexicon | self.known
 
-    def made(self, token: str) -> int:
-        word = _WORD.search(token.lower().replace("’", "'"))
-        symbol = next((self.known[s] for s in stems(word[0]) if s in self.known), OTHER) if word else OTHER
-        return symbol + ENDS * (token[-1:] in ".!?;:")
+    def made(self, token: str) -> bytes:
+        out = bytearray()
+        for piece in pieces(small(token)):
+            if piece in _MARKS:
+                if out:
+                    out[-1] |= ENDS
+            else:
+                out.append(next((self.known[s] for s in stems(piece) if s in self.known), OTHER))
+        # a token without words counts as one
+        return bytes(out) or bytes([OTHER + ENDS * (token[-1:] in _MARKS)])
+
+
+#: Characters of text worked on at once.
+RUN = 1 << 20
 
 
-def _tokens(text: str, step: int = 1 << 20) -> Iterator[list[str]]:
+def _tokens(text: str) -> Iterator[list[str]]:
     """White-space tokens, a bounded run of text at a time."""
-    at = 0
+    at, step = 0, RUN
     while at < len(text):
         end = len(text)
         if end - at > step:
             space = re.compile(r"\s").search(text, at + step)
             end = space.start() if space else end
-        yield text[at:end].split()
+        if tokens := text[at:end].split():
+            yield tokens
         at = end
 
 
@@ -141,17 +169,25 @@ def clauses(text: str, symbols: Symbols) -> tuple[float, float, int, int]:
     step, weight = composed()
     total = most = 0.0
     hits = words = 0
+    state, clause, held = 0, 0.0, False  # of a clause that the last run of text left open
+    goes_on = len(text) > RUN
     for tokens in _tokens(text):
-        code = bytes(map(symbols.__getitem__, tokens))
+        code = b"".join(map(symbols.__getitem__, tokens))
         words += len(code)
+        starts = [hit.start() for hit in _HIT.finditer(code)]
+        if held:
+            starts.insert(0, 0)
+        if goes_on:
+            starts.append(len(code) - 1)
         done = 0
-        for hit in _HIT.finditer(code):
-            if hit.start() < done:
+        for at in starts:
+            if at < done:
                 continue
-            at = hit.start()
-            while at > done and at > hit.start() - 64 and code[at - 1] < ENDS:  # to the start of the clause
+            while at > done and code[at - 1] < ENDS:  # to the start of the clause
                 at -= 1
-            state, clause = 0, 0.0
+            if not held:
+                state, clause = 0, 0.0
+            held = True
             while at < len(code):
                 symbol = code[at] & 15
                 hits += symbol in STRENGTH
@@ -159,9 +195,13 @@ def clauses(text: str, symbols: Symbols) -> tuple[float, float, int, int]:
                 state = step[state][symbol]
                 at += 1
                 if code[at - 1] >= ENDS:
+                    held = False
                     break
             done = at
-            total, most = total + max(clause, 0.0), max(most, clause)
+            if not held:
+                total, most = total + max(clause, 0.0), max(most, clause)
+    if held:
+        total, most = total + max(clause, 0.0), max(most, clause)
     return total, most, hits, words
 
 
@@ -208,8 +248,7 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()  # the fitted sample is bounded, and so is this
     for batch in batches:
         for text, fold, toxic in zip(batch["text"], batch["fold"].to_pylist(), batch["toxic"].to_pylist()):
-            words = {w for tokens in _tokens((text.as_py() or "").lower().replace("’", "'")) for t in tokens
-                     for w in _WORD.findall(t)[:1]}
+            words = {w for tokens in _tokens(small(text.as_py() or "")) for w in pieces(" ".join(tokens)) if w not in _MARKS}
             counts.update((e, fold, toxic) for e in {e for w in words if len(w) <= 40 for e in stems(w)})
     rows = list(counts.items())
     for at in range(0, len(rows), 50_000):

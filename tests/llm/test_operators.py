@@ -3,6 +3,7 @@
 import json
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -165,6 +166,29 @@ def test_grammar_weighs_clauses():
     assert len(step) == len(out) and all(len(r) == 9 for r in step)
 
 
+def test_joined_words_and_long_clauses_are_scored(spark, monkeypatch):
+    from quarry.llm import toxicity as module
+    symbols = Symbols({"moron": 8, "笨蛋": 8})
+
+    def weight(text):
+        return clauses(text, symbols)[0]
+    for text in ("you,idle/moron", "so...moron", "well--moron", "x\u2014moron", "a(moron)b"):
+        assert clauses(text, symbols)[2] == 1 and weight(text) == weight(re.sub(r"[^a-z.]+", " ", text.replace(".", ". "))) > 0
+    assert clauses("他真是个笨蛋。你好", symbols)[2] == 1
+    assert weight("he is not here.moron there") == weight("moron there") == weight("not here! moron there")
+    far = "someone said " + "and so on " * 60 + "a moron"
+    assert weight(far) == weight("someone said a moron") < weight("a moron")
+    texts = [far, "he is not. " * 9 + far, far + ". you moron", "plain words " * 50, far + ".  "]
+    whole = [clauses(t, symbols) for t in texts]
+    monkeypatch.setattr(module, "RUN", 40)
+    assert [clauses(t, symbols) for t in texts] == whole
+    insults = ["zarg", "blorf"]
+    texts = [(n, f"well,{insults[n % 2]} number{n}" if n % 3 == 0 else f"some kind words{n}") for n in range(300)]
+    labels = spark.createDataFrame([(n, int(n % 3 == 0)) for n in range(300)], "doc_id long, toxic int")
+    got = toxicity(awkward(spark, texts), labels).collect()
+    assert all(r["predicted"] == (r["doc_id"] % 3 == 0) for r in got)
+
+
 def test_toxicity_held_out_accuracy_and_awkward_rows(spark, docs):
     r = queries.op2_toxicity(spark, "/root/testdata/sf0.1").toPandas()
     labels = duckdb.sql("SELECT doc_id, toxic FROM '/root/testdata/sf0.1/labels.parquet'").df()
