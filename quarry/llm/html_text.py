@@ -41,7 +41,8 @@ IMPLIED = {"li": ({"li"}, LISTS), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "d
 IMPLIED |= {g: (_cells | _rows | _groups, {"table"}) for g in _groups}
 SCOPE = {"table", "td", "th", "caption", "button", "html", "body"}
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]{0,4096}+"|'[^']{0,4096}+'|["'])*+)(?:>|\Z)"""
+#: A quote opens a value only after =, and only if it is closed somewhere: then the value is taken whole.
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+)(?:>|\Z)"""
                   r"""|<[!?/][^>]*(?:>|\Z)""", re.S)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)""", re.I)
 _NUMBER = re.compile(r"""(start|value|colspan|rowspan)\s*=\s*["']?\s*(-?\d{1,6})""", re.I)

@@ -330,6 +330,17 @@ def test_rendering():
         render(broken)
 
 
+def test_long_attribute_values():
+    for n in (10, 5_000, 100_000):
+        for quote, other in ("\"'", "'\""):
+            value = "{it" + other + "s > 1," + "x" * n + "}"
+            page = f"<div data-x={quote}{value}{quote}><p>First visible words.</p><p>It's here</p></div>"
+            assert render(page) == "First visible words.\n\nIt's here"
+    assert render("<p don't>one</p><p>it's</p>") == "one\n\nit's"
+    assert render("<a href=/q?a=\"x>y</a> z") == "y z" and render("<p title=\"never closed>one</p>two") == "one\n\ntwo"
+    assert render("<a href='x" * 20_000) is not None and render('<a b="' * 20_001 + "x>y") is not None
+
+
 def test_pages_keep_all_visible_words(spark):
     import html as h
     import re
