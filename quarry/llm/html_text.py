@@ -44,8 +44,9 @@ SCOPE = {"table", "td", "th", "caption", "button", "html", "body"}
 #: A quote opens a value only after =, and only if it is closed somewhere: then the value is taken whole.
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+)(?:>|\Z)"""
                   r"""|<[!?/][^>]*(?:>|\Z)""", re.S)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)""", re.I)
-_NUMBER = re.compile(r"""(start|value|colspan|rowspan)\s*=\s*["']?\s*(-?\d{1,6})""", re.I)
+_ATTR = re.compile(r"""([^\s/=][^\s/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s]*+)))?""")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_WHOLE = re.compile(r"\s*([+-]?\d{1,6})")
 _SPACES = re.compile(r"[ \t\n\r\f\v]+")
 #: Elements nested deeper than this become siblings, as in browsers.
 DEEPEST = 512
@@ -53,14 +54,38 @@ DEEPEST = 512
 WIDEST = 60
 
 
+def attributes(raw: str) -> dict[str, str]:
+    """Names and values of a start tag; of a repeated name the first counts."""
+    out: dict[str, str] = {}
+    for name, double, single, bare in _ATTR.findall(raw):
+        out.setdefault(name.lower(), html.unescape(double or single or bare))
+    return out
+
+
+def unseen(style: str) -> bool:
+    """Whether a style hides its element; the last declaration of a property counts, important ones before others."""
+    last: dict[str, tuple[bool, str]] = {}
+    for part in _COMMENT.sub("", style).lower().split(";"):
+        name, _, value = part.partition(":")
+        value, mark, _ = value.partition("!")
+        name = name.strip()
+        if mark or not last.get(name, (False, ""))[0]:
+            last[name] = bool(mark), value.strip()
+    return last.get("display", (0, ""))[1] == "none" or last.get("visibility", (0, ""))[1] in ("hidden", "collapse")
+
+
 class Node:
     __slots__ = ("tag", "attrs", "children")
 
     def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.children = tag, attrs, []
+        self.tag, self.attrs, self.children = tag, attributes(attrs) if attrs else {}, []
+
+    def hidden(self) -> bool:
+        return "hidden" in self.attrs or ("style" in self.attrs and unseen(self.attrs["style"]))
 
     def number(self, name: str, default: int) -> int:
-        return next((int(v) for k, v in _NUMBER.findall(self.attrs) if k.lower() == name), default)
+        found = _WHOLE.match(self.attrs.get(name, ""))
+        return int(found[1]) if found else default
 
 
 def build(page: str) -> Node:
@@ -195,7 +220,7 @@ def render(page: str) -> str:
             continue
         tag = node.tag
         if not leaving:
-            if tag in UNSEEN or (node.attrs and _HIDDEN.search(node.attrs)):
+            if tag in UNSEEN or (node.attrs and node.hidden()):
                 continue
             if tag == "br":
                 out.gap, out.space = (out.gap + 1 if out.out else 0), False
@@ -232,7 +257,7 @@ def render(page: str) -> str:
             pre += tag in ("pre", "textarea", "xmp")
             todo.append((node, True))
             children = node.children
-            if tag == "details" and not re.search(r"(?:^|\s)open(?=[\s=/]|$)", node.attrs, re.I):
+            if tag == "details" and "open" not in node.attrs:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"]
             todo.extend((c, False) for c in reversed(children))
             continue

@@ -341,6 +341,18 @@ def test_long_attribute_values():
     assert render("<a href='x" * 20_000) is not None and render('<a b="' * 20_001 + "x>y") is not None
 
 
+def test_only_hidden_and_style_hide():
+    for shown in ('title="The hidden door"', 'data-t="see hidden files"', 'class="menu hidden md"', 'data-style="display:none"',
+                  'onclick="x.style=\'display:none\'"', 'style="display:none; display: block"', 'style="--display:none"', "data-hidden",
+                  'style="/* display:none */ color:red"', 'alt=hidden', 'style="visibility:visible"'):
+        assert render(f"<div {shown}>a</div>b") == "a\nb", shown
+    for gone in ("hidden", 'class="x" HIDDEN', "hidden=''", 'style="color:red;DISPLAY : none"', "style=visibility:hidden",
+                 'style="display:none !important; display:block"', "title='a'hidden", "style='display&#58;none'", "hidden/x"):
+        assert render(f"<div {gone}>a</div>b") == "b", gone
+    assert render('<details title="to open it"><summary>S</summary>no</details>') == "S"
+    assert render('<ol data-start=7 title="start=9"><li>x</ol>') == "1. x"
+
+
 def test_pages_keep_all_visible_words(spark):
     import html as h
     import re
