@@ -15,8 +15,8 @@ sum over (partition, length) counts.  So no length is gathered in one task, hot
 
 from __future__ import annotations
 
+import json
 import re
-import string
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -24,12 +24,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quarry.llm.shared import Remembered, small_batches, stored
+from quarry.llm.shared import small_batches, stored
+from quarry.llm.token_count import byte_symbols
 
 #: The largest share of all sequences filled in one way is 1 / STEPS.
 STEPS = 200
@@ -37,77 +39,66 @@ STEPS = 200
 LONG, RATE = 1.1, 0.5
 #: Share of the tokens left to the rounding.
 REST = 0.03
-#: Stretches of text remembered by a worker; characters of a long text handled at once.
-REMEMBERED, STEP = 200_000, 1 << 20
+#: Characters of a text handled at once.
+STEP = 1 << 17
 
 # --- token ids ------------------------------------------------------------------------------------
 
 #: Where a byte-level piece surely starts: a single space or line break between two other characters.
-_CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
-_ODD = re.compile(r"\s[ \n]|[ \n]\s")
+_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: Fixed value: the pieces of the byte-level pre-tokeniser.
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-class StretchIds(Remembered):
-    """Ids, as little-endian unsigned 32-bit numbers, of the stretches between such cuts."""
+class TextIds:
+    """Ids of whole texts, as little-endian unsigned 32-bit numbers, as the tokenizers library has them.
+
+    Where the vocabulary is a plain byte-level one whose ids rise with the rank of their merge, tiktoken
+    merges by the same ranks at a quarter of the cost.  Texts with a special token's string, stretches of
+    over ``2 * STEP`` characters without a cut and vocabularies of another kind go to the library.
+    """
 
     def __init__(self, vocabulary: bytes):
-        super().__init__(REMEMBERED)
         self.library = Tokenizer.from_buffer(vocabulary)
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.marks = lru_cache(10_000)(self.ids)
-
-    def ids(self, text: str) -> bytes:
+        self.quick = self._ranked(json.loads(vocabulary))
+
+    def _ranked(self, spec: dict) -> tiktoken.Encoding | None:
+        before, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        plain = (before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+                 and spec.get("normalizer") is None and model.get("type", "BPE") == "BPE" and not model.get("dropout")
+                 and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix"))
+        if not plain:
+            return None
+        octet = {s: b for b, s in enumerate(byte_symbols())}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [model["vocab"]["".join(pair)] for pair in pairs]
+        base = [model["vocab"].get(s, -1) for s in octet]
+        if min(base) < 0 or made != sorted(set(made)) or (made and max(base) > made[0]):
+            return None
+        ranks = {bytes(octet[c] for c in t): i for t, i in model["vocab"].items() if t not in self.special}
+        return tiktoken.Encoding("vocabulary", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
+
+    def whole(self, text: str) -> bytes:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
-    def made(self, part: str) -> bytes:
-        """A stretch that does not start a line has a space before it."""
-        body = part[1:] if part[:1] == "\n" else part
-        head = body.rstrip(string.punctuation)
-        if head != body and head.isalpha():  # letters, then one piece of marks
-            return self[part[: len(part) - len(body) + len(head)]] + self.marks(body[len(head) :])
-        return self.ids(part if body is not part else f" {part}")
-
-    def learn(self, parts: set[str]) -> None:
-        """Encode the unseen stretches of letters in a few calls: each is one piece."""
-        new = set()
-        for part in parts:
-            if part not in self:
-                part = part.rstrip(string.punctuation)
-                if part.isalpha() and len(part) <= 64 and part not in self and part not in self.older:
-                    new.add(part)
-        new = sorted(new)
-        for at in range(0, len(new), 500):
-            some = new[at : at + 500]
-            found = self.library.encode(" " + " ".join(some), add_special_tokens=False)
-            piece = np.array(found.word_ids)
-            if piece[-1] == len(some) - 1:
-                cuts = (np.searchsorted(piece, np.arange(len(some) + 1)) * 4).tolist()
-                data = np.array(found.ids, "<u4").tobytes()
-                for part, a, b in zip(some, cuts, cuts[1:]):
-                    self.keep(part, data[a:b])
-
     def encode(self, text: str) -> bytes:
-        """The ids of a whole text; one that holds a special token's string goes to the library whole."""
-        if any(s in text for s in self.special):
-            return self.ids(text)
+        if not self.quick or any(s in text for s in self.special):
+            return self.whole(text)
         found, at = [], 0
         while at < len(text):
             cut = _CUT.search(text, at + STEP) if len(text) - at > STEP else None
             some = text[at : cut.start()] if cut else text[at:]
-            parts = _CUT.split(some) if _ODD.search(some) else some.replace("\n", " \n").split(" ")
-            self.learn(set(parts))
-            # no space before the first stretch of the text
-            first = self.ids(parts[0]) if parts[0] and not at else self[parts[0]] if at else b""
-            found.append(first + b"".join(map(self.__getitem__, parts[1:])))
-            at = cut.end() if cut else len(text)
+            found.append(np.array(self.quick.encode_ordinary(some), "<u4").tobytes() if len(some) <= 2 * STEP else self.whole(some))
+            at += len(some)
         return b"".join(found)
 
 
 @lru_cache(maxsize=1)
-def encoder(vocabulary: bytes) -> StretchIds:
-    return StretchIds(vocabulary)
+def encoder(vocabulary: bytes) -> TextIds:
+    return TextIds(vocabulary)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
