@@ -7,11 +7,14 @@ the held-out part the remainder.  Inside a class, rows are ordered by the
 md5 of their key and the seed, so the split is the same on every engine
 and every run.
 
-No window over a whole class is used: the two cut points of each class are
-exact order statistics (:mod:`quarry.operators.order_stats`), and the split
-itself is a projection against a table of one row per class.  Rows that
-repeat the key of a cut point are numbered (distributed, by partition), so
-sizes are exact however often a key repeats.
+No window over a whole class is used.  A first pass counts the classes.  The
+md5 is uniform, so from its count each cut of a class is known to lie in a
+narrow bracket of hashes; a second pass counts the rows below, between and
+above the brackets, and inside them by hash, which gives the cuts exactly
+(:func:`quarry.operators.order_stats.ranked`).  The split itself is a
+projection against a table of one row per class.  The same counts say how
+often the hash of a cut repeats; such rows are numbered (distributed, by
+partition), so sizes are exact however often a key repeats.
 """
 
 from __future__ import annotations
@@ -86,69 +89,71 @@ class Split:
     dropped_null_target: int
 
 
+#: Half the width of a cut's bracket in standard deviations of a uniform sample's quantile.
+DEVIATIONS = 8
+#: Hexadecimal digits of a bracket's ends.
+DIGITS = 13
+
+
+def _hash_at(share: Column) -> Column:
+    """The first digits of the md5 below which ``share`` (0..1) of all hashes lie."""
+    return F.lower(F.lpad(F.hex(F.floor(share * float(16**DIGITS)).cast("long")), DIGITS, "0"))
+
+
+def _hash_number(h: Column) -> Column:
+    return F.conv(F.substring(h, 1, DIGITS), 16, 10).cast("double")
+
+
+def class_cuts(hashed: DataFrame, asks: DataFrame) -> DataFrame:
+    """(_y, k, kth, equal, before): the k-th hash of a class, how many rows have it and how many a lower
+    one.  ``hashed`` is (_y, _v); ``asks`` (_y, _n, k) with 1 <= k <= _n = rows of the class."""
+    share = (F.col("k") - 0.5) / F.col("_n")
+    near = DEVIATIONS * (F.sqrt(share * (1 - share) / F.col("_n")) + 1 / F.col("_n"))
+    brackets = asks.select("_y", "k", _hash_at(F.greatest(share - near, F.lit(0.0))).alias("_lo"),
+                           F.when(share + near < 1, _hash_at(share + near)).otherwise("g").alias("_hi"),
+                           F.lit("").alias("_min"), F.lit("g").alias("_max"))  # before and after every hash
+    return order_stats.ranked(hashed, ["_y"], brackets, _hash_number)
+
+
 def stratified_split(df: DataFrame, target: str, key_cols: list[str] | None = None, seed: int = 42,
                      test_size: float = 0.2, val_size: float = 0.25) -> Split:
     """Add ``split`` in {'train', 'val', 'test'}; rows with a NULL target are left out."""
     keys = key_cols or list(df.columns)
-    hashed = (df.withColumn("_h", row_hash(keys, seed)).withColumn("_y", q(target))
-              .withColumn("_o", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long")))
-    # the hash is worked out once; every pass below reads this narrow projection or the rows themselves
-    order = hashed.select("_y", "_o", "_h")
-    # one pass: class sizes (with the NULL class) and the hash range of each class
-    allcounts = order_stats.freeze(order.groupBy("_y").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi")))
+    allcounts = order_stats.freeze(df.groupBy(q(target).alias("_y")).agg(F.count(F.lit(1)).alias("_n")))
     dropped = allcounts.where(F.col("_y").isNull()).agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    counts = allcounts.where(F.col("_y").isNotNull())
-    sizes = order_stats.freeze(sizes_table(counts.select("_y", "_n"), test_size, val_size))
-    hashed = hashed.where(F.col("_y").isNotNull())
-    order = order.where(F.col("_y").isNotNull())
+    sizes = order_stats.freeze(sizes_table(allcounts.where(F.col("_y").isNotNull()), test_size, val_size))
+    hashed = df.withColumn("_h", row_hash(keys, seed)).withColumn("_y", q(target)).where(F.col("_y").isNotNull())
+
     ends = F.array(F.struct(F.lit("t").alias("req"), F.col("n_test").alias("k"), F.col("n_test").alias("n")),
                    F.struct(F.lit("v").alias("req"), (F.col("n_test") + F.col("n_val")).alias("k"), F.col("n_val").alias("n")))
-    asks = sizes.select("_y", F.explode(ends).alias("e")).where("e.n > 0").select("_y", "e.req", "e.k")
-    stats = counts.select("_y", F.col("_n").alias("_cnt"), "_lo", "_hi")
-    cuts = order_stats.kth_smallest(order, "_o", asks, ["_y"], tie="_h", stats=stats)
-    wide = (cuts.groupBy("_y").pivot("req", ["t", "v"])
-            .agg(F.first(F.struct(F.col("kth").alias("o"), F.col("kth_tie").alias("h")))))
+    asks = sizes.select("_y", "_n", F.explode(ends).alias("e")).where("e.n > 0").select("_y", "_n", "e.req", "e.k")
+    cuts = class_cuts(hashed.select("_y", F.col("_h").alias("_v")), asks)
+    wide = asks.join(cuts, ["_y", "k"]).groupBy("_y").pivot("req", ["t", "v"]).agg(F.first(F.struct("kth", "equal", "before")))
     # one row per class, computed once
     wide = order_stats.freeze(sizes.select("_y", "n_test", "n_val").join(wide.select(
-        "_y", F.col("t.o").alias("_to"), F.col("t.h").alias("_th"), F.col("v.o").alias("_vo"), F.col("v.h").alias("_vh")),
-        "_y", "left"))
+        "_y", F.col("t.kth").alias("_th"), F.col("t.before").alias("_tb"), F.col("v.kth").alias("_vh"),
+        F.col("v.before").alias("_vb"), (F.greatest("t.equal", "v.equal") > 1).alias("_r")), "_y", "left"))
 
-    def below(o, h):
-        return (F.col("_o") < F.col(o)) | ((F.col("_o") == F.col(o)) & (F.col("_h") < F.col(h)))
-
-    def at(h):
-        return F.coalesce(F.col("_h") == F.col(h), F.lit(False))
-    joined = order_stats.join_small(hashed, wide, ["_y"])
+    joined = hashed.join(wide, "_y")
     columns = [q(c) for c in df.columns]
-    upto = [F.coalesce(below(o, h), F.lit(False)) | at(h) for o, h in (("_to", "_th"), ("_vo", "_vh"))]
-    plain = F.when(upto[0], "test").when(upto[1], "val").otherwise("train")
+    plain = F.when(F.col("_h") <= F.col("_th"), "test").when(F.col("_h") <= F.col("_vh"), "val").otherwise("train")
+    out = sizes.select(F.col("_y").alias("class"), F.col("_n").alias("n"), *[F.col(c).cast("long").alias(c) for c in ("n_test", "n_val", "n_train")])
+    if not wide.where("_r").limit(1).count():
+        return Split(joined.select(*columns, plain.alias("split")), out, int(dropped))
 
     # keys at a cut point that repeat: number their rows and cut inside
-    spots = (order_stats.join_small(order, wide, ["_y"]).groupBy("_y")
-             .agg(F.count_if(at("_th")).alias("_eqt"), F.count_if(at("_vh")).alias("_eqv")))
-    repeated = order_stats.freeze(spots.where("_eqt > 1 OR _eqv > 1").select("_y"))
-    if not repeated.limit(1).count():
-        table = joined.select(*columns, plain.alias("split"))
-    else:
-        mine = order_stats.join_small(order, wide.join(repeated, "_y", "left_semi"), ["_y"])
-        less = order_stats.freeze(mine.groupBy("_y").agg(
-            F.count_if(F.coalesce(below("_to", "_th"), F.lit(False))).alias("_lt"),
-            F.count_if(F.coalesce(below("_vo", "_vh"), F.lit(False))).alias("_lv")))
-        tied = order_stats.join_small(joined, repeated.withColumn("_r", F.lit(True)), ["_y"], "left")
-        is_tied = F.coalesce(F.col("_r"), F.lit(False)) & (at("_th") | at("_vh"))
-        rest = tied.where(~is_tied).select(*columns, plain.alias("split"))
-        # written, so that the numbers given to the rows stay theirs
-        tied = materialize(tied.where(is_tied).drop("_r").withColumn("_p", F.spark_partition_id()))
-        group = ["_y", "_h"]
-        blocks = order_stats.freeze(tied.groupBy(*group, "_p").agg(F.count(F.lit(1)).alias("_c")))
-        before = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-        blocks = blocks.select(*group, "_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
-        inside = F.row_number().over(Window.partitionBy(*group, "_p").orderBy("_o"))
-        tied = order_stats.join_small(tied.withColumn("_i", inside), order_stats.freeze(blocks), [*group, "_p"])
-        tied = order_stats.join_small(tied, less, ["_y"])
-        rank = F.when(at("_th"), F.col("_lt")).otherwise(F.col("_lv")) + F.col("_before") + F.col("_i")
-        cut = F.when(rank <= F.col("n_test"), "test").when(rank <= F.col("n_test") + F.col("n_val"), "val").otherwise("train")
-        table = rest.unionByName(tied.select(*columns, cut.alias("split")))
-    out = sizes.select(F.col("_y").alias("class"), F.col("_n").alias("n"), *[F.col(c).cast("long").alias(c) for c in ("n_test", "n_val", "n_train")])
-    return Split(table, out, int(dropped))
+    at_cut = F.coalesce(F.col("_r"), F.lit(False)) & (F.coalesce(F.col("_h") == F.col("_th"), F.lit(False))
+                                                      | F.coalesce(F.col("_h") == F.col("_vh"), F.lit(False)))
+    rest = joined.where(~at_cut).select(*columns, plain.alias("split"))
+    # written, so that the numbers given to the rows stay theirs
+    tied = materialize(joined.where(at_cut).withColumn("_p", F.spark_partition_id()))
+    group = ["_y", "_h"]
+    blocks = order_stats.freeze(tied.groupBy(*group, "_p").agg(F.count(F.lit(1)).alias("_c")))
+    earlier = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*group, "_p", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*group, "_p").orderBy(F.lit(1)))
+    tied = tied.withColumn("_i", inside).join(order_stats.freeze(blocks), [*group, "_p"])
+    below = F.when(F.col("_h") == F.col("_th"), F.col("_tb")).otherwise(F.col("_vb"))
+    rank = below + F.col("_before") + F.col("_i")
+    cut = F.when(rank <= F.col("n_test"), "test").when(rank <= F.col("n_test") + F.col("n_val"), "val").otherwise("train")
+    return Split(rest.unionByName(tied.select(*columns, cut.alias("split"))), out, int(dropped))

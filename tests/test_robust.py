@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import metrics as M
-from quarry.operators import order_stats
+from quarry.operators import order_stats, split
 from quarry.operators.clean import numeric_text_columns
 from quarry.operators.discretize import discretize_target
 from quarry.operators.features import fit_features
@@ -28,9 +28,9 @@ def test_counts_past_64_bits(spark):
     assert s["accuracy"] == pytest.approx(0.75) and s["kappa"] == pytest.approx(0.5) and s["mcc"] == pytest.approx(0.5)
 
 
-@pytest.mark.parametrize("limit", [order_stats.FINAL_LIMIT, 40])
-def test_quantiles_with_infinity_and_nan(spark, limit, monkeypatch):
-    monkeypatch.setattr(order_stats, "FINAL_LIMIT", limit)
+@pytest.mark.parametrize("grid", [order_stats.GRID, 4])
+def test_quantiles_with_infinity_and_nan(spark, grid, monkeypatch):
+    monkeypatch.setattr(order_stats, "GRID", grid)
     rows = [(float(i),) for i in range(500)] + [(float("inf"),), (float("-inf"),), (float("nan"),), (None,), (1e308,), (-1e308,)]
     df = spark.createDataFrame(rows, "v double")
     asks = spark.createDataFrame([(k, k) for k in (1, 2, 3, 252, 503, 504, 505)], "req int, k int")
@@ -41,17 +41,17 @@ def test_quantiles_with_infinity_and_nan(spark, limit, monkeypatch):
     assert order_stats.quantiles(clean, "v", [0.5]).first()["q"] == 249.5
 
 
-@pytest.mark.parametrize("limit", [order_stats.FINAL_LIMIT, 30])
-def test_split_sizes_with_repeated_keys(spark, limit, monkeypatch):
-    monkeypatch.setattr(order_stats, "FINAL_LIMIT", limit)
+@pytest.mark.parametrize("deviations", [split.DEVIATIONS, 0])
+def test_split_sizes_with_repeated_keys(spark, deviations, monkeypatch):
+    monkeypatch.setattr(split, "DEVIATIONS", deviations)
     for rows in ([(7, 0)] * 100 + [(i, 0) for i in range(100, 200)], [(1, i % 2) for i in range(90)], [(i % 4, i % 3) for i in range(101)]):
         df = spark.createDataFrame(rows, "id int, y int").repartition(5)
         table = stratified_split(df, "y", ["id"]).table
         got = {(r["y"], r["split"]): r["n"] for r in table.groupBy("y", "split").agg(F.count(F.lit(1)).alias("n")).collect()}
         classes = sorted({y for _, y in rows})
         sizes = split_sizes([sum(y == c for _, y in rows) for c in classes])
-        for c, (test, val, train) in zip(classes, sizes):
-            assert [got.get((c, s), 0) for s in ("test", "val", "train")] == [test, val, train]
+        for c, (n_test, n_val, n_train) in zip(classes, sizes):
+            assert [got.get((c, s), 0) for s in ("test", "val", "train")] == [n_test, n_val, n_train]
 
 
 @pytest.mark.parametrize("target,others", [("label", ["features", "split"]), ("y", ["score", "model"]), ("clase", ["a.b", "pred"])])
