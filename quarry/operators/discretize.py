@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import bin_labels
 from quarry.operators import order_stats
+from quarry.operators.distinct import distinct_values, more_values_than
 from quarry.operators.schema import is_numeric_type, q
 
 CONTINUOUS_DISTINCT = 15
@@ -26,21 +26,18 @@ def is_continuous(df: DataFrame, cols: list[str] | None = None,
     """Numeric, more than ``min_distinct`` distinct values, and not (all integers with range < 20)."""
     cols = cols or df.columns
     num = [c for c in cols if is_numeric_type(df.schema[c].dataType)]
-    aggs = []
-    for i, c in enumerate(num):
-        x = q(c).cast("double")
-        aggs += [F.count_distinct(x).alias(f"d{i}"), F.bool_and(x == F.floor(x)).alias(f"i{i}"),
-                 (F.max(x) - F.min(x)).alias(f"r{i}")]
     spark = df.sparkSession
     if not num:
         rows = spark.createDataFrame([], "column string, n_distinct bigint, all_integer boolean, "
                                          "value_range double")
     else:
-        row = df.agg(*aggs)
-        stack = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"d{i}").cast("long").alias("n_distinct"),
-                                   F.col(f"i{i}").alias("all_integer"), F.col(f"r{i}").alias("value_range"))
-                          for i, c in enumerate(num)])
-        rows = row.select(F.explode(stack).alias("s")).select("s.*")
+        xs = [q(c).cast("double") for c in num]
+        row = df.agg(*[F.bool_and(x == F.floor(x)).alias(f"i{i}") for i, x in enumerate(xs)],
+                     *[(F.max(x) - F.min(x)).alias(f"r{i}") for i, x in enumerate(xs)])
+        stack = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"), F.col(f"i{i}").alias("all_integer"),
+                                   F.col(f"r{i}").alias("value_range")) for i, c in enumerate(num)])
+        shapes = row.select(F.explode(stack).alias("s")).select("s.*")
+        rows = shapes.join(distinct_values(df, xs), "pos").select("column", "n_distinct", "all_integer", "value_range")
     other = [c for c in cols if c not in num]
     if other:
         rows = rows.unionByName(spark.createDataFrame(
@@ -161,23 +158,14 @@ def edges_table(df: DataFrame, edges: list[float]) -> DataFrame:
 
 
 def _target_is_continuous(df: DataFrame, target: str, min_distinct: int = CONTINUOUS_DISTINCT) -> bool:
-    """D1's decision alone: a few distinct values are enough, so no task passes on more than
-    ``min_distinct + 1`` of them."""
+    """D1's decision alone: whether there are more than ``min_distinct`` values, not how many."""
     if not is_numeric_type(df.schema[target].dataType):
         return False
     x = q(target).cast("double")
     r = df.agg(F.bool_and(x == F.floor(x)).alias("whole"), (F.max(x) - F.min(x)).alias("range")).first()
     if (r["whole"] is None or r["whole"]) and (r["range"] is None or r["range"] < SMALL_INT_RANGE):
         return False
-
-    def few(batches):
-        seen = set()
-        for batch in batches:
-            if len(seen) <= min_distinct:
-                seen.update(batch.column(0).unique().to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array(sorted(seen)[: min_distinct + 1], pa.float64())], ["v"])
-    values = df.select(x.alias("v")).where("v IS NOT NULL").mapInArrow(few, "v double")
-    return values.distinct().limit(min_distinct + 1).count() > min_distinct
+    return more_values_than(df, x, min_distinct)
 
 
 @dataclass

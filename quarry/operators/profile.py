@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import order_stats
+from quarry.operators.distinct import distinct_values
 from quarry.operators.schema import q
 
 
@@ -54,8 +55,10 @@ def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def distinct_counts(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
     """P5: number of distinct non-null values per column."""
-    fn = F.approx_count_distinct if approx else F.count_distinct
-    row = df.agg(*[fn(q(c)).alias(f"d{i}") for i, c in enumerate(cols)])
+    if not approx:
+        names = F.array(*[F.lit(c) for c in cols])
+        return distinct_values(df, [q(c) for c in cols]).select(F.get(names, F.col("pos")).alias("column"), "n_distinct")
+    row = df.agg(*[F.approx_count_distinct(q(c)).alias(f"d{i}") for i, c in enumerate(cols)])
     stack = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"d{i}").cast("long").alias("n_distinct"))
                       for i, c in enumerate(cols)])
     return row.select(F.explode(stack).alias("s")).select("s.*")
