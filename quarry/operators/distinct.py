@@ -16,6 +16,8 @@ All ways are exact; the estimate only picks one.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +38,8 @@ def _held(c: Column, kind: T.DataType) -> Column:
 def distinct_values(df: DataFrame, columns: list[Column]) -> DataFrame:
     """(pos, n_distinct): number of distinct non-null values of each expression, by its position."""
     spark = df.sparkSession
+    if not columns:
+        return spark.createDataFrame([], "pos int, n_distinct long")
     named = df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)])
     kinds = [f.dataType for f in named.schema.fields]
     # 0.0 and -0.0 are one value, as in a GROUP BY
@@ -68,12 +72,7 @@ def distinct_values(df: DataFrame, columns: list[Column]) -> DataFrame:
         else:
             counted = values.distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
         parts.append(counted.select(F.lit(i).alias("pos"), "n_distinct"))
-    if not parts:
-        return spark.createDataFrame([], "pos int, n_distinct long")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def more_values_than(df: DataFrame, column: Column, n: int) -> bool:
