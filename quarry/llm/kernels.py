@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a longer text is cut at white space (see ``words``).
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1

@@ -252,7 +252,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                             percent: int = 85) -> DataFrame:
     """The documents with the smallest id of each group of near-copies, with their columns.  Of rows
-    that repeat an id one stays; rows with a null id stay."""
+    that repeat an id and a text one stays, of other texts under the id one each; rows with a null id stay."""
     found = stored(near_duplicates(docs, id_col, text_col, size, percent).select("doc_id", "kept"), "kept")
     gone = found.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
     left = docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
@@ -260,5 +260,5 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     again = stored(again.where("n > 1").select(F.col("doc_id").alias("__again")), "again")
     if again.limit(1).count():
         met = F.col(id_col) == F.col("__again")
-        left = left.join(again, met, "left_anti").unionByName(left.join(again, met, "left_semi").dropDuplicates([id_col]))
+        left = left.join(again, met, "left_anti").unionByName(left.join(again, met, "left_semi").dropDuplicates([id_col, text_col]))
     return left

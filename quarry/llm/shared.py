@@ -61,6 +61,12 @@ class Remembered(dict):
         self.keep(key, found)
         return found
 
+    def forget(self) -> None:
+        """At the end of a task: workers live on, and others need the memory."""
+        self.clear()
+        self.older = {}
+        pa.default_memory_pool().release_unused()
+
     def keep(self, key: str, found) -> None:
         if len(key) <= 64:
             if len(self) >= self.size:

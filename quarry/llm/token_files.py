@@ -33,8 +33,8 @@ from quarry.llm.shared import Remembered, fresh_folder, stored
 MARKS = string.punctuation
 #: Stands for a null doc_id in ``.doc`` files.
 NO_ID = -(1 << 63)
-#: Distinct words remembered by a worker; ids read back at once.
-REMEMBERED, READ_IDS = 500_000, 1 << 22
+#: Distinct words a task remembers (some 200 bytes each); ids read back at once.
+REMEMBERED, READ_IDS = 150_000, 1 << 20
 
 
 class WordEncoder(Remembered):
@@ -68,8 +68,8 @@ class WordEncoder(Remembered):
     def learn(self, words: set[str]) -> None:
         """Encode the unseen letter-only words of many texts in a few calls: each is one piece."""
         new = set()
-        for word in words.difference(self):
-            word = word.rstrip(MARKS)
+        for word in words:
+            word = "" if word in self else word.rstrip(MARKS)
             if word.isalpha() and len(word) <= 64:
                 word = word.lower() if word.isascii() else word
                 if word not in self and word not in self.older:
@@ -162,6 +162,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
             n, at = n + len(sizes), int(ends[-1])
         for s in streams:
             s.close()
+        words.forget()
         if n:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([f"{folder}/{name}"]),

@@ -545,6 +545,8 @@ def test_groups_of_awkward_rows(spark):
     assert left.columns == rows.columns
     assert Counter(r["doc_id"] for r in left.collect()) == Counter([1, 3, 4, 5, 6, 8, None, None, 10, 11])
     assert near_duplicates(empty(spark)).count() == 0
+    twice = awkward(spark, [(1, "a b c d e f g"), (1, "h i j k l m n"), (1, "a b c d e f g"), (2, "a b c d e f g")])
+    assert Counter(r["text"] for r in without_near_duplicates(twice).collect()) == Counter(["a b c d e f g", "h i j k l m n"])
 
 
 # --- 10 mixing ------------------------------------------------------------------------------------
