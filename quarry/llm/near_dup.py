@@ -42,6 +42,8 @@ REGION = 1024
 PIVOTS = 8
 #: A block of a cluster: so many documents, or so many shingles, at most (one document may exceed it).
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 500_000
+#: So many ids (8 MB) are broadcast, more are joined.
+FEW_IDS = 1 << 20
 #: Estimates of 96 minima scatter by 0.036 at 0.85; 0.17 is over four deviations.
 MARGIN = 0.17
 
@@ -310,8 +312,9 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     """The documents with the smallest id of each group of near-copies, with their columns.  Of rows
     that repeat an id and a text one stays, of other texts under the id one each; rows with a null id stay."""
     found = stored(near_duplicates(docs, id_col, text_col, size, percent).select("doc_id", "kept"), "kept")
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    gone = stored(found.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    few = gone.count() <= FEW_IDS  # then whole texts need not be shuffled to leave some out
+    left = docs.join(F.broadcast(gone) if few else gone, F.col(id_col) == F.col("__gone"), "left_anti")
     again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     again = stored(again.where("n > 1").select(F.col("doc_id").alias("__again")), "again")
     if again.limit(1).count():
