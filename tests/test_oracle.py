@@ -30,14 +30,23 @@ def _falling(rows):
     assert cost[0] > cost[-1] > 0
 
 
-#: What must hold for results that SQL cannot give.
+def _importances(rows):
+    values = [r["importance"] for r in rows]
+    assert values == sorted(values, reverse=True) and sum(values) <= 1 + 1e-9
+
+
+def _linkage(rows):
+    assert all(r["size"] >= 2 and r["height"] >= 0 for r in rows)
+
+
+#: What must hold for results that SQL cannot give; tests/test_models.py works them out again.
 CHECKS = {
     "class_probability": lambda rows: _sums_to_one(rows, "doc_id", "probability"),
-    "feature_importance": lambda rows: (_ := [r["importance"] for r in rows]) == sorted(_, reverse=True) and sum(_) <= 1 + 1e-9,
+    "feature_importance": _importances,
     "kmeans_sweep": lambda rows: (_sweep(rows), _falling(rows)),
     "ward_clusters": _sweep,
     "elbow_table": _falling,
-    "linkage_table": lambda rows: all(r["size"] >= 2 and r["height"] >= 0 for r in rows),
+    "linkage_table": _linkage,
 }
 
 
