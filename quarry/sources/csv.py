@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.text import LOAD_NA_TOKENS
+from quarry.sources.csv_records import records
 
 # Fixed values: (separator, encoding) attempts, in order.
 ATTEMPTS = [(",", "utf-8"), (";", "utf-8"), (",", "ISO-8859-1"), (";", "ISO-8859-1")]
@@ -31,8 +32,8 @@ def read_csv_text(spark: SparkSession, path: str, sep: str = ",",
 
 
 def _breaks_in_quotes(spark: SparkSession, path: str) -> bool:
-    """A line with an odd number of quotes: some quoted text goes on in the next line.  Only then is the
-    file read as one piece, which cannot be split."""
+    """A line with an odd number of quotes: some quoted text may go on in the next line.  Only then are
+    records put together from lines (``csv_records``)."""
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     return spark.read.text(path).where(quotes % 2 == 1).limit(1).count() > 0
 
@@ -44,7 +45,13 @@ def _read_csv(spark: SparkSession, path: str, sep: str, encoding: str, multi_lin
     names = reader.option("inferSchema", False).csv(path).columns
     surplus = "__surplus"
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, surplus]])
-    return reader.schema(schema).csv(path), surplus
+    if not multi_line:
+        return reader.schema(schema).csv(path), surplus
+    value = F.col("value") if encoding == "utf-8" else F.decode(F.col("value").cast("binary"), encoding)
+    fields = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in schema.names)
+    options = {"sep": sep, "quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
+    parsed = records(spark, path, sep).select(F.from_csv(F.rtrim(value, F.lit("\r")), fields, options).alias("r"))
+    return parsed.select("r.*"), surplus
 
 
 def _any_bad(df: DataFrame, surplus: str, check_bytes: bool) -> bool:
