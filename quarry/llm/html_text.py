@@ -3,9 +3,10 @@
 A page becomes a tree: start tags close what they imply closed (a paragraph before a block, an item
 before the next item, cells and rows of a table), end tags close up to their match, raw elements take
 their content whole.  The tree is walked with the rules of a plain style sheet: invisible elements
-(head, scripts, ``hidden``, ``display:none`` ...) are skipped, white space collapses outside ``pre``,
-blocks begin a line and paragraphs, headings and lists leave a blank one, list items get markers and
-indents, table cells line up in columns.  Building and walking use explicit stacks and bounded depth,
+(head, scripts, ``hidden``, ``display:none`` ...) are skipped, visibility is inherited, white space
+collapses outside ``pre``, blocks begin a line and paragraphs, headings and lists leave a blank one, list
+items get markers and indents, table cells line up in columns, each with all its lines.  A table with a
+cell of several blocks lays out the page: its cells follow one another.  Building and walking use explicit stacks and bounded depth,
 so no page fails for its nesting.
 """
 
@@ -13,8 +14,8 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
-from itertools import zip_longest
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,8 +26,10 @@ from quarry.llm.shared import small_batches
 #: Element classes of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes noscript".split())
-UNSEEN = set("head script style template noscript title iframe noembed noframes object datalist audio video canvas svg "
-             "math link meta".split())
+UNSEEN = set("head script style template noscript title iframe noembed noframes object datalist audio video canvas "
+             "link meta desc metadata defs symbol clippath annotation annotation-xml".split())
+#: Raw elements in which character references count.
+ESCAPED = {"textarea", "title"}
 LISTS = set("ul ol menu dir".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 blockquote pre figure dl table".split()) | LISTS
 BLOCKS = SPACED | set("html body div section article header footer nav aside main address center details summary dd dt li "
@@ -40,6 +43,10 @@ IMPLIED = {"li": ({"li"}, LISTS), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "d
            "tr": (_cells | _rows | {"caption"}, {"table"})}
 IMPLIED |= {g: (_cells | _rows | _groups, {"table"}) for g in _groups}
 SCOPE = {"table", "td", "th", "caption", "button", "html", "body"}
+ENDS_P = SCOPE | LISTS
+THROUGH = set("table tr tbody thead tfoot td th html body".split())  # their end tags reach beyond a scope
+#: HTML's bounds on spans; a wider colspan counts as 1.
+ACROSS, DOWN = 1000, 65534
 
 #: A quote opens a value only after =, and only if it is closed somewhere: then the value is taken whole.
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+)(?:>|\Z)"""
@@ -52,6 +59,8 @@ _SPACES = re.compile(r"[ \t\n\r\f\v]+")
 DEEPEST = 512
 #: Cells wider than this do not set their column's width.
 WIDEST = 60
+#: Columns that would begin further right are not aligned: two spaces stand between their cells.
+FARTHEST = 1000
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -62,8 +71,8 @@ def attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def unseen(style: str) -> bool:
-    """Whether a style hides its element; the last declaration of a property counts, important ones before others."""
+def shown(style: str) -> tuple[str, str]:
+    """Values of display and visibility; the last declaration of a property counts, important ones before others."""
     last: dict[str, tuple[bool, str]] = {}
     for part in _COMMENT.sub("", style).lower().split(";"):
         name, _, value = part.partition(":")
@@ -71,7 +80,7 @@ def unseen(style: str) -> bool:
         name = name.strip()
         if mark or not last.get(name, (False, ""))[0]:
             last[name] = bool(mark), value.strip()
-    return last.get("display", (0, ""))[1] == "none" or last.get("visibility", (0, ""))[1] in ("hidden", "collapse")
+    return last.get("display", (0, ""))[1], last.get("visibility", (0, ""))[1]
 
 
 class Node:
@@ -80,8 +89,14 @@ class Node:
     def __init__(self, tag: str, attrs: str = ""):
         self.tag, self.attrs, self.children = tag, attributes(attrs) if attrs else {}, []
 
-    def hidden(self) -> bool:
-        return "hidden" in self.attrs or ("style" in self.attrs and unseen(self.attrs["style"]))
+    def visible(self, inherited: bool) -> bool | None:
+        """None for an element without a box; else whether its own text shows."""
+        display, visibility = shown(self.attrs["style"]) if "style" in self.attrs else ("", "")
+        if display == "none" or ("hidden" in self.attrs and not display):
+            return None
+        if visibility in ("hidden", "collapse"):
+            return False
+        return inherited or visibility in ("visible", "initial")
 
     def number(self, name: str, default: int) -> int:
         found = _WHOLE.match(self.attrs.get(name, ""))
@@ -92,14 +107,23 @@ def build(page: str) -> Node:
     """The tree of a page."""
     root = Node("#root")
     stack, at = [root], 0
+    opened: Counter[str] = Counter()  # open elements by name
+
+    def cut(depth: int) -> None:
+        for node in stack[depth:]:
+            opened[node.tag] -= 1
+        del stack[depth:]
 
     def close(tags: set[str], until: set[str]) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in tags:
-                del stack[depth:]
-                return close(tags, until) if tags & _cells or tags & _rows else None
-            if stack[depth].tag in until:
-                return None
+        while any(opened[t] > 0 for t in tags):
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].tag in tags:
+                    cut(depth)
+                    break
+                if stack[depth].tag in until:
+                    return
+            if not (tags & _cells or tags & _rows):
+                return
 
     while at < len(page):
         tag = _TAG.search(page, at)
@@ -113,28 +137,32 @@ def build(page: str) -> Node:
         if not name:
             continue  # comment, doctype, bogus
         if tag[1]:
-            if name == "p" and not any(n.tag == "p" for n in reversed(stack[-8:])):
-                stack[-1].children.append(Node("p"))
-                continue
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if opened[name] > 0 else ():
                 if stack[depth].tag == name:
-                    del stack[depth:]
+                    cut(depth)
                     break
-                if stack[depth].tag in SCOPE and name not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "html", "body"):
+                if stack[depth].tag in SCOPE and name not in THROUGH:
+                    if name == "p":
+                        stack[-1].children.append(Node("p"))
                     break
+            else:
+                if name == "p":  # an end tag without its paragraph makes an empty one
+                    stack[-1].children.append(Node("p"))
             continue
         if name in IMPLIED:
             close(*IMPLIED[name])
         if name in BLOCKS and name not in ("html", "body"):
-            close({"p"}, SCOPE | LISTS)
+            close({"p"}, ENDS_P)
         node = Node(name, tag[3])
         stack[-1].children.append(node)
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-            node.children.append(page[at : end.start() if end else len(page)])
+            text = page[at : end.start() if end else len(page)]
+            node.children.append(html.unescape(text) if name in ESCAPED else text)
             at = end.end() if end else len(page)
         elif name not in VOID and not tag[3].endswith("/") and len(stack) < DEEPEST:
             stack.append(node)
+            opened[name] += 1
     return root
 
 
@@ -145,16 +173,18 @@ class Page:
         self.out: list[str] = []
         self.gap, self.blank, self.space = 0, True, False  # newlines due, line is empty, space due
         self.indents: list[str] = []
+        self.between, self.blocks = False, False  # a block border is due, text has stood on both sides of one
 
     def line(self, gap: int = 1) -> None:
         if self.out:
-            self.gap = max(self.gap, gap)
+            self.gap, self.between = max(self.gap, gap), True
         self.space = False
 
     def write(self, text: str) -> None:
         if self.gap:
             self.out.append("\n" * self.gap)
             self.gap, self.blank = 0, True
+            self.blocks, self.between = self.blocks or self.between, False
         if self.blank:
             self.out.append("".join(self.indents))
             # a marker shows once; later lines of its item are indented by its width
@@ -184,43 +214,72 @@ class Page:
         return "".join(self.out)
 
 
-def table_lines(rows: list[list[tuple[str, int, int]]]) -> list[str]:
-    """Rows of (text, colspan, rowspan) as lines with aligned columns."""
-    grid: list[list[str | None]] = []
-    held: dict[int, int] = {}  # column -> rows still taken from above
-    for row in rows:
-        line: list[str | None] = []
-
-        def skip() -> None:
-            while held.get(len(line), 0) > 0:
-                held[len(line)] -= 1
-                line.append("")
-        for text, across, down in row:
-            skip()
-            for k in range(min(max(across, 1), 100)):
-                if down > 1:
-                    held[len(line)] = min(down, 1000) - 1
-                line.append(text if not k else None)  # None: covered by the cell to its left
-        skip()
-        grid.append(line)
-    widths = [max((len(c) for r, c in enumerate(column) if c and len(c) <= WIDEST
-                   and not (i + 1 < len(grid[r]) and grid[r][i + 1] is None)), default=0)
-              for i, column in enumerate(zip_longest(*grid))]
-    return ["  ".join((c or "").ljust(w) for c, w in zip(line, widths)).rstrip() for line in grid]
+def places(rows: list[list[tuple[str, bool, int, int]]]) -> list[list[tuple[int, str, int]]]:
+    """(column, text, colspan) of the cells of each row, past the columns that cells from above still take."""
+    out, taken = [], []  # taken: (first column, one past the last, first row free again), in order
+    for r, row in enumerate(rows):
+        taken = [t for t in taken if t[2] > r]
+        line, new, at, k = [], [], 0, 0
+        for text, _, across, down in row:
+            across = across if 1 <= across <= ACROSS else 1
+            while k < len(taken) and taken[k][0] <= at:
+                at, k = max(at, taken[k][1]), k + 1
+            line.append((at, text, across))
+            if down != 1:
+                until = r + (min(down, DOWN) if down > 0 else DOWN)  # 0: to the end
+                if new and new[-1][1] == at and new[-1][2] == until:
+                    new[-1] = new[-1][0], at + across, until
+                else:
+                    new.append((at, at + across, until))
+            at += across
+        if new:
+            taken = sorted(taken + new)
+        out.append(line)
+    return out
+
+
+def table_lines(rows: list[list[tuple[str, bool, int, int]]]) -> list[str]:
+    """Rows of (text, whether of several blocks, colspan, rowspan) as lines with aligned columns; only columns
+    in which a cell begins take room."""
+    placed = places(rows)
+    widths: dict[int, int] = {}
+    for row in placed:
+        for column, text, across in row:
+            width = max(map(len, text.split("\n")))
+            widths[column] = max(widths.get(column, 0), width if width <= WIDEST and across == 1 else 0)
+    begins, at = {}, 0
+    for column in sorted(widths):
+        begins[column] = at if at <= FARTHEST else 0
+        at += widths[column] + 2
+    out = []
+    for row in placed:
+        cells = [(begins[column], text.split("\n")) for column, text, _ in row]
+        for k in range(max((len(lines) for _, lines in cells), default=0)):
+            line, size = [], 0
+            for begin, lines in cells:
+                if k < len(lines) and lines[k]:
+                    pad = max(begin - size, 2 if size else 0)
+                    line += [" " * pad, lines[k]]
+                    size += pad + len(lines[k])
+            out.append("".join(line).rstrip())
+    return out
 
 
 def render(page: str) -> str:
     """Visible text of a page."""
     out, pages, tables, lists, pre = Page(), [], [], [], 0
-    todo: list[tuple[object, bool]] = [(build(page), False)]
+    todo: list[tuple[object, bool, bool]] = [(build(page), False, True)]
     while todo:
-        node, leaving = todo.pop()
+        node, leaving, visible = todo.pop()
         if isinstance(node, str):
-            out.kept(node) if pre else out.flow(node)
+            if visible:
+                out.kept(node) if pre else out.flow(node)
             continue
         tag = node.tag
         if not leaving:
-            if tag in UNSEEN or (node.attrs and node.hidden()):
+            if tag in UNSEEN or (tag == "dialog" and "open" not in node.attrs):
+                continue
+            if node.attrs and (visible := node.visible(visible)) is None:
                 continue
             if tag == "br":
                 out.gap, out.space = (out.gap + 1 if out.out else 0), False
@@ -239,7 +298,7 @@ def render(page: str) -> str:
             elif tag in SPACED:
                 # a list inside an item follows it without a blank line
                 out.line(1 if tag in LISTS and lists else 2)
-            elif tag in BLOCKS:
+            elif tag in BLOCKS or tag == "text":  # a text of a drawing stands alone
                 out.line()
             if tag in LISTS:
                 lists.append(node.number("start", 1) if tag == "ol" else None)
@@ -249,17 +308,20 @@ def render(page: str) -> str:
                 if count is not None:
                     count = node.number("value", count)
                     lists[-1] = count + 1
-                out.indents.append("- " if count is None else f"{count}. ")
+                mark = "- " if count is None else f"{count}. "
+                out.indents.append(mark if visible else " " * len(mark))
             elif tag in ("dd", "blockquote"):
                 out.indents.append("  ")
             elif tag == "img":
                 continue
             pre += tag in ("pre", "textarea", "xmp")
-            todo.append((node, True))
+            todo.append((node, True, visible))
             children = node.children
             if tag == "details" and "open" not in node.attrs:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"]
-            todo.extend((c, False) for c in reversed(children))
+            if tag in ("mfrac", "mtr"):
+                children = [x for c in children for x in (c, " ")]  # parts of a formula that do not stand side by side
+            todo.extend((c, False, visible) for c in reversed(children))
             continue
         pre -= tag in ("pre", "textarea", "xmp")
         if tag in LISTS:
@@ -267,19 +329,26 @@ def render(page: str) -> str:
         if tag in LISTS or tag in ("li", "dd", "blockquote"):
             out.indents.pop()
         if tag in _cells and tables:
-            text = _SPACES.sub(" ", out.text()).strip()
+            text, blocks = out.text(), out.blocks
             out = pages.pop()
-            tables[-1][-1].append((text, node.number("colspan", 1), node.number("rowspan", 1)))
+            tables[-1][-1].append((text if "\n" in text else text.strip(), blocks, node.number("colspan", 1), node.number("rowspan", 1)))
         elif tag == "table":
             out = pages.pop()
-            for line in table_lines([r for r in tables.pop() if r]):
-                out.line()
-                if line:
-                    out.write(line)
+            rows = [r for r in tables.pop() if r]
+            if any(blocks for row in rows for _, blocks, _, _ in row):
+                for text in (cell[0] for row in rows for cell in row if cell[0]):
+                    out.line(2 if "\n" in text else 1)
+                    out.kept(text)
+                    out.line(2 if "\n" in text else 1)
+            else:
+                for line in table_lines(rows):
+                    out.line()
+                    if line:
+                        out.write(line)
             out.line(2)
         elif tag in SPACED:
             out.line(1 if tag in LISTS and lists else 2)
-        elif tag in BLOCKS:
+        elif tag in BLOCKS or tag == "text":
             out.line()
     return out.text()
 
@@ -289,7 +358,9 @@ def page_texts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
 
     A null or empty page has an empty text, and so has one with nothing visible.  One row per input
     row, repeated rows and null ids included; an empty table gives an empty result; other columns are
-    not read.  Broken markup (unclosed tags, quotes or comments) never fails a page.
+    not read.  Broken markup (unclosed tags, quotes or comments) never fails a page.  Very long pages are
+    rendered whole; a table costs its real cells, however wide their spans.  Limits: elements nested deeper
+    than ``DEEPEST`` become siblings; spans have HTML's bounds; columns beyond ``FARTHEST`` are not aligned.
     """
     small_batches(pages.sparkSession)
 

@@ -20,7 +20,7 @@ import corpus_pipeline
 from quarry.llm import ann, mixing, queries, shared
 from quarry.llm import kernels as K
 from quarry.llm.decontaminate import leaks, without_leaks
-from quarry.llm.html_text import page_texts, render
+from quarry.llm.html_text import page_texts, places, render
 from quarry.llm.line_dedup import edit_distance, normal, repeated_lines, without_repeated_lines
 from quarry.llm.near_dup import near_duplicates, without_near_duplicates
 from quarry.llm.quality import resample
@@ -353,6 +353,57 @@ def test_only_hidden_and_style_hide():
     assert render('<ol data-start=7 title="start=9"><li>x</ol>') == "1. x"
 
 
+def test_cells_keep_their_blocks():
+    assert render("<table><tr><td><p>First para</p><p>Second para</p><ul><li>b<li>c</ul></td></tr></table>") == "First para\n\nSecond para\n\n- b\n- c"
+    assert render("<table><tr><td>nav<td><h1>T</h1><p>body<table><tr><td>x<td>y<tr><td>long<td>z</table></table>") == "nav\n\nT\n\nbody\n\nx     y\nlong  z"
+    # lines of a cell stand one below the other in its column
+    assert render("<table><tr><td>a<br>bb<td>c<tr><td><p>d</p><td>e</table>") == "a   c\nbb\nd   e"
+    assert render("<table><tr><td>k<td><pre>x = 1\n  y = 2</pre></table>") == "k  x = 1\n     y = 2"
+    assert render("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>") == "a  b\n   c"
+    assert render("<table><tr><td colspan=2>wide one<td>z<tr><td>1<td>2<td>3</table>").split("\n")[1] == "1  2  3"
+    assert render("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>") == "a  b\n   c\n   d"
+
+
+def test_visible_text_is_not_lost():
+    assert render("<svg><title>t</title><defs><text>no</text></defs><text>label</text><text>two</text></svg>") == "label\ntwo"
+    assert render("a <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> b") == "a x=1 2 b"
+    assert render('<div style="visibility:hidden">no<p style="visibility:visible">yes</p>no</div>z') == "yes\n\nz"
+    assert render('<div style="display:none">no<p style="visibility:visible">no</p></div>z') == "z"
+    assert render('<div hidden style="display:block">yes</div>') == "yes"
+    assert render("<dialog>no</dialog><dialog open>yes</dialog>") == "yes"
+    assert render("<textarea>a &amp; b</textarea>") == "a & b"
+    assert render("<p>a" + "<b>" * 20 + "b</p>c") == "a" + "b\n\nc"
+
+
+def test_wide_tables_and_deep_pages_take_time_of_their_size():
+    import time
+    wide = "<table><tr>" + "<td colspan=100 rowspan=1000>x" * 2_000 + "<tr><td>y" * 500 + "</table>"
+    big = "<table><tr>" + "<td colspan=1000 rowspan=60000>x" * 20_000 + "<tr><td>last" * 20_000 + "</table>"
+    deep = "<div>" * 50_000 + "</i>" * 5_000 + "end"
+    for page, words in ((wide, 2_500), (big, 40_000), (deep, 1)):
+        start = time.process_time()
+        assert len(render(page).split()) == words
+        assert time.process_time() - start < 3
+
+
+def test_aligned_columns_against_a_grid():
+    """Columns of cells from a plain grid, filled cell by cell."""
+    rng = random.Random(5)
+    for _ in range(200):
+        rows = [[(f"r{r}c{c}", False, rng.choice([1, 1, 2, 3]), rng.choice([1, 1, 2, 3])) for c in range(rng.randint(1, 4))] for r in range(5)]
+        used, want = set(), []
+        for r, row in enumerate(rows):
+            at, line = 0, []
+            for text, _, across, down in row:
+                while (r, at) in used:
+                    at += 1
+                line.append((at, text, across))
+                used |= {(y, x) for y in range(r, r + down) for x in range(at, at + across)}
+                at += across
+            want.append(line)
+        assert places(rows) == want
+
+
 def test_pages_keep_all_visible_words(spark):
     import html as h
     import re
