@@ -46,6 +46,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--n_init", type=int, default=10, help="K-means starts per k")
     ap.add_argument("--num_trees", type=int, default=200)
     ap.add_argument("--cuts", type=float, nargs="*", help="bin edges for --discretize manual")
+    ap.add_argument("--work", help="shared folder that keeps the run's stages; the same command goes on after a loss")
     args = ap.parse_args(argv)
 
     # checkpoints go when the driver lets go of them
@@ -59,7 +60,7 @@ def main(argv: list[str] | None = None) -> None:
                        read_any(spark, args.data2), args.target2))
     params = [RunParams(target=t, method=args.discretize, n_bins=args.n_bins, cuts=args.cuts, n_init=args.n_init,
                         num_trees=args.num_trees) for _, _, t in tables]
-    listing = run_and_write([(n, d) for n, d, _ in tables], args.output, params)
+    listing = run_and_write([(n, d) for n, d, _ in tables], args.output, params, work=args.work)
     listing.show(200, truncate=False)
 
 

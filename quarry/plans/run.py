@@ -12,7 +12,7 @@ import os
 import sys
 import time
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -30,6 +30,7 @@ from quarry.operators.schema import classify_columns, column_summary, detect_tar
 from quarry.operators.split import stratified_split
 from quarry.session import materialize
 from quarry.sources.sink import write_results
+from quarry.workspace import Workspace
 
 
 @dataclass
@@ -93,17 +94,31 @@ def _shown(slot: str, shown: dict[str, str]) -> str:
     return slot
 
 
-def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None = None) -> RunResult:
+def _stage(work: Workspace | None, name: str, rows: list[str], build) -> dict[str, DataFrame]:
+    """A stage's tables: kept in the run's folder if it has one, else those of many rows checkpointed."""
+    if work:
+        return work.stage(name, build)
+    return {t: materialize(d) if t in rows else d for t, d in build().items()}
+
+
+def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None = None, work: str | None = None) -> RunResult:
+    """The whole run.  With a folder ``work`` its stages (cleaned table, features, clustering, predictions) are
+    kept there, and a run that ended early goes on after the last whole one when called again with the same
+    table and settings; the results read that folder, so it is removed after they are written
+    (``run_and_write`` does)."""
     p = params or RunParams()
     spark = df.sparkSession
+    work = Workspace(spark, work, [name, asdict(p), df.dtypes]) if work else None
     t: dict[str, DataFrame] = {}
 
     # 1. cleaning (one audit aggregate, one projection + dedupe)
     with _phase("clean"):
         if p.clean:
-            cr = clean_table(df)
-            data = materialize(cr.table)  # the one copy that all later steps read
-            t["cleaning_audit"] = cr.audit
+            def cleaned():
+                cr = clean_table(df)
+                return {"table": cr.table, "audit": cr.audit}
+            got = _stage(work, "clean", ["table"], cleaned)
+            data, t["cleaning_audit"] = got["table"], got["audit"]  # the one copy that all later steps read
         else:
             data = df
     t["column_summary"] = column_summary(data)
@@ -142,14 +157,16 @@ def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None
     if not num and not cat:
         raise ValueError("the table has no column beside its target")
     with _phase("features"):
-        fm = X.fit_features(data, num, cat, max_slots=p.max_slots)
-        fm.names = [_shown(n, shown) for n in fm.names]
-        t["feature_names"] = X.feature_names(fm)
-        t["hashed_features"] = spark.createDataFrame([(shown.get(c, c),) for c in fm.hashed], "column string")
-        feats = C.with_label(fm.transform(data), target, classes)
-        # what later steps read: the numbers for the profiles, not the raw text columns
-        kept = dict.fromkeys([target, "split", *num, *(keys or [])])
-        feats = materialize(feats.select(*[q(c) for c in kept], "features", "label"))
+        def featured():
+            fm = X.fit_features(data, num, cat, max_slots=p.max_slots)
+            fm.names = [_shown(n, shown) for n in fm.names]
+            feats = C.with_label(fm.transform(data), target, classes)
+            # what later steps read: the numbers for the profiles, not the raw text columns
+            kept = dict.fromkeys([target, "split", *num, *(keys or [])])
+            return {"rows": feats.select(*[q(c) for c in kept], "features", "label"), "names": X.feature_names(fm),
+                    "hashed": spark.createDataFrame([(shown.get(c, c),) for c in fm.hashed], "column string")}
+        got = _stage(work, "features", ["rows"], featured)
+        feats, t["feature_names"], t["hashed_features"] = got["rows"], got["names"], got["hashed"]
     train = feats.where(F.col("split") == "train")
 
     # 7. baseline
@@ -158,36 +175,40 @@ def run_analysis(df: DataFrame, name: str = "dataset", params: RunParams | None
 
     # 8. clustering on the train rows
     n_train = train.count()
-    if n_train - 1 >= p.k_min:
+
+    def clustered():
+        if n_train - 1 < p.k_min:
+            return {"cluster_summary": K.cluster_summary(spark, None, None)}
         with _phase("kmeans"):
             sweep = K.kmeans_sweep(train, "features", p.k_min, p.k_max, p.n_init, p.seed, keys, p.sample)
         with _phase("ward"):
             ward = K.ward_clusters(train, "features", p.k_min, p.k_max, p.micro, p.seed, keys, p.sample)
-        t["kmeans_sweep"] = sweep.table
-        t["ward_sweep"] = ward.table
-        t["linkage"] = ward.linkage
-        best = sweep.models[sweep.best_k].transform(train)
+        best = sweep.models[sweep.best_k].transform(train).select(*[q(c) for c in num], "cluster")
+        return {"kmeans_sweep": sweep.table, "ward_sweep": ward.table, "linkage": ward.linkage, "assigned": best,
+                "cluster_summary": K.cluster_summary(spark, sweep, ward)}
+    got = _stage(work, "clustering", [], clustered)
+    best = got.pop("assigned", None)
+    t.update(got)
+    if best is not None:
         t["cluster_profile"] = K.cluster_profile(best, "cluster", num).replace(shown, subset=["column"]) if shown else (
             K.cluster_profile(best, "cluster", num))
         t["cluster_profile_norm"] = K.cluster_profile_norm(t["cluster_profile"])
         t["cluster_sizes"] = K.cluster_sizes(best, "cluster")
-    else:
-        sweep = ward = None
-    t["cluster_summary"] = K.cluster_summary(spark, sweep, ward)
 
     # 9. models
-    with _phase("tree"):
-        tree = C.train_tree(train, classes, p.tree_depth, p.seed, p.max_bins)
-    with _phase("forest"):
-        forest = C.train_forest(train, classes, p.num_trees, p.forest_depth, p.seed, p.max_bins)
-    evalrows = feats.where(F.col("split") != "train")
-    preds = None
-    for order, model in ((1, tree), (2, forest)):
-        pr = C.predict(model, evalrows, target, ["split"]).withColumn("ord", F.lit(order))
-        preds = pr if preds is None else preds.unionByName(pr)
-    with _phase("predict"):
-        preds = materialize(preds)
-    t["feature_importance"] = C.feature_importance(forest, fm.names, 15)
+    def predicted():
+        with _phase("tree"):
+            tree = C.train_tree(train, classes, p.tree_depth, p.seed, p.max_bins)
+        with _phase("forest"):
+            forest = C.train_forest(train, classes, p.num_trees, p.forest_depth, p.seed, p.max_bins)
+        evalrows = feats.where(F.col("split") != "train")
+        preds = [C.predict(model, evalrows, target, ["split"]).withColumn("ord", F.lit(order))
+                 for order, model in ((1, tree), (2, forest))]
+        names = [r["feature"] for r in t["feature_names"].orderBy("idx").collect()]
+        return {"rows": reduce(DataFrame.unionByName, preds), "importance": C.feature_importance(forest, names, 15)}
+    with _phase("models"):
+        got = _stage(work, "models", ["rows"], predicted)
+    preds, t["feature_importance"] = got["rows"], got["importance"]
 
     # 10. evaluation
     allp = preds.select("model", "ord", "split", "y", "pred").unionByName(base)
@@ -252,14 +273,17 @@ def compare_runs(a: RunResult, b: RunResult) -> dict[str, DataFrame]:
 
 
 def run_and_write(dfs: list[tuple[str, DataFrame]], out_dir: str,
-                  params: RunParams | list[RunParams] | None = None, fmt: str = "parquet") -> DataFrame:
+                  params: RunParams | list[RunParams] | None = None, fmt: str = "parquet",
+                  work: str | None = None) -> DataFrame:
     """S8 + S6: one or two tables, results under ``<out>/dataset_1``, ``dataset_2``, ``comparison``.
 
-    ``params`` is one setting for all tables or one per table (e.g. their own targets).
+    ``params`` is one setting for all tables or one per table (e.g. their own targets).  With a folder
+    ``work`` the run can be taken up again after a loss (``run_analysis``); it is removed at the end.
     """
     spark = dfs[0][1].sparkSession
     plist = params if isinstance(params, list) else [params] * len(dfs)
-    runs = [run_analysis(df, name, p) for (name, df), p in zip(dfs, plist)]
+    folders = [f"{work.rstrip('/')}/dataset_{i}" if work else None for i in range(1, len(dfs) + 1)]
+    runs = [run_analysis(df, name, p, folder) for (name, df), p, folder in zip(dfs, plist, folders)]
     listing = None
     for i, r in enumerate(runs, start=1):
         part = write_results(spark, r.tables, f"{out_dir.rstrip('/')}/dataset_{i}", fmt)
@@ -268,4 +292,6 @@ def run_and_write(dfs: list[tuple[str, DataFrame]], out_dir: str,
     if len(runs) == 2:
         part = write_results(spark, compare_runs(*runs), f"{out_dir.rstrip('/')}/comparison", fmt)
         listing = listing.unionByName(part.withColumn("dataset", F.lit("comparison")))
+    if work:
+        Workspace(spark, work).remove()
     return listing
