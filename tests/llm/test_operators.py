@@ -435,7 +435,11 @@ def test_edit_distance():
         return row[-1]
     for _ in range(800):
         a, b = ("".join(rng.choice("abc") for _ in range(rng.randrange(0, 25))) for _ in range(2))
-        assert edit_distance(a, b) == table(a, b)
+        d = table(a, b)
+        assert edit_distance(a, b) == d
+        for limit in range(0, 12):
+            found = edit_distance(a, b, limit)
+            assert found == d if d <= limit else found > limit
 
 
 def test_lines_match_brute_force(spark, docs):
