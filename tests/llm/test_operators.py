@@ -467,6 +467,36 @@ def test_lines_match_brute_force(spark, docs):
         assert reached == set(forms)
 
 
+def test_cluster_links_match_all_pairs():
+    """With sketches that let every pair pass, a cluster's links give the components of all pairs compared."""
+    import pyarrow as pa
+
+    from quarry.llm.line_dedup import _alike
+    rng, texts = random.Random(1), set()
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(400)]
+    for size in (4, 8, 20, 40) * 8:
+        base = " ".join(rng.choice(words) for _ in range(size))
+        for _ in range(8):
+            t = list(base)
+            for _ in range(rng.randrange(0, 1 + len(t) // 7)):
+                k = rng.randrange(len(t))
+                t[k : k + rng.randrange(2)] = rng.choice(["", "a", "\u00e9", " ", "b"])
+            texts.add("".join(t))
+    forms = [normal(t) for t in sorted(texts)]
+    zero = np.zeros(len(forms), np.int64)
+    links = _alike(0.9)(pa.table({"h": np.arange(len(forms)), "s1": zero, "s2": zero, "text": sorted(texts)}))
+
+    def components_of(pairs):
+        group = list(range(len(forms)))
+        for a, b in pairs:
+            x, y = group[a], group[b]
+            group = [min(x, y) if g in (x, y) else g for g in group]
+        return group
+    every = [(i, j) for i in range(len(forms)) for j in range(i)
+             if edit_distance(forms[i], forms[j]) <= 0.1 * max(len(forms[i]), len(forms[j])) + 1e-9]
+    assert components_of(zip(links["a"].to_pylist(), links["b"].to_pylist())) == components_of(every) and len(every) > 100
+
+
 def test_lines_of_awkward_rows(spark):
     same = "The quick brown fox jumps over 12 lazy dogs and runs away from the farm into the wide open field"
     texts = [(3, f"{same}\nunique line number one here\n\n{same}"), (2, f"x\n{same.replace('12', '77').upper()}"), (4, None), (5, ""),
