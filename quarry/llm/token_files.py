@@ -8,11 +8,13 @@ prefix sum of the totals before it; a document starts at base + offset.  Readers
 
 Documents are range-partitioned by id and sorted inside the partition.  A task writes under a name
 of its own, and only names that tasks have returned are in the manifest, so a repeated task after a
-lost executor leaves an unused file, never a wrong one.  Memory is one Arrow batch and the word cache.
+lost executor leaves an unused file, never a wrong one.  Memory is one Arrow batch, and the word cache
+where a text is not in Latin letters.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import string
 import uuid
@@ -23,12 +25,14 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quarry.llm.shared import Remembered, fresh_folder, stored
+from quarry.llm.token_count import byte_symbols
 
 MARKS = string.punctuation
 #: Stands for a null doc_id in ``.doc`` files.
@@ -37,9 +41,56 @@ NO_ID = -(1 << 63)
 REMEMBERED, READ_IDS = 150_000, 1 << 20
 
 
+#: Normaliser and pre-tokeniser of the vocabularies that :func:`ranked` takes.
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same on lower-cased texts in Latin letters.
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[^\\W\\d_\u00B2\u00B3\u00B9\u00BC-\u00BE]+|[\\d\u00B2\u00B3\u00B9\u00BC-\u00BE]"
+                     "|[!-/:-@\\[-`{-~\u00A1-\u00A9\u00AB-\u00B1\u00B4\u00B6-\u00B8\u00BB\u00BF\u00D7\u00F7]+")
+#: Texts for which NFC changes nothing, and white space, letters and lower case are the same everywhere.
+_LATIN = re.compile("[\t\n\r\x20-\x7E\u00A1-\u012F\u0131-\u024F]*")
+
+
+def ranked(spec: dict) -> tuple[tiktoken.Encoding, np.ndarray] | None:
+    """tiktoken's merger of a vocabulary with end-of-word symbols, and the id of each of its ranks.
+
+    A piece is followed by a space, which stands for the end of a word: it joins the byte before it
+    first, then pairs are merged by rank.  None for vocabularies of another kind.
+    """
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    steps = before.get("pretokenizers") or [{}]
+    first = {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True}
+    plain = ((spec.get("normalizer") or {}).get("normalizers") == _NORMAL and steps[0] == first and len(steps) == 2
+             and steps[1].get("type") == "ByteLevel" and not steps[1].get("add_prefix_space") and not steps[1].get("use_regex", True)
+             and model.get("type", "BPE") == "BPE" and not model.get("dropout") and not model.get("continuing_subword_prefix")
+             and not model.get("ignore_merges"))
+    end = model.get("end_of_word_suffix")
+    if not plain or not end:
+        return None
+    octets = {s: b for b, s in enumerate(byte_symbols())}
+
+    def octet_string(symbol: str) -> bytes:
+        last = symbol.endswith(end)
+        return bytes(octets[c] for c in (symbol[: -len(end)] if last else symbol)) + b" " * last
+    ids = model["vocab"]
+    try:
+        base = [*(s + end for s in octets), *octets]
+        merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        symbols = [*base, *merged]
+        numbers = np.array([ids[s] for s in symbols], np.uint32)
+        ranks = {octet_string(s): i for i, s in enumerate(symbols)}
+    except KeyError:
+        return None
+    if len(ranks) != len(symbols):
+        return None
+    return tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={}), numbers
+
+
 class WordEncoder(Remembered):
-    """Ids (as bytes) of white-space-free words by the tokenizers library, each encoded once.
+    """Ids (as bytes) of texts as the tokenizers library has them.
 
+    Texts in Latin letters are cut into pieces here and merged by tiktoken, by the same ranks, where the
+    vocabulary allows (:func:`ranked`).  For all others the words go to the library, each once.
     The vocabulary's pieces never cross white space, so a text's ids are those of its words end to
     end; a text that holds the string of a special token goes to the library as a whole.  Letters and
     the marks after them are separate pieces, and A-Z is folded, so such words are put together from
@@ -53,6 +104,14 @@ class WordEncoder(Remembered):
         self.library.no_padding()
         self.kind = np.dtype("<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.quick = ranked(json.loads(vocabulary))
+
+    def merged(self, text: str) -> bytes:
+        """Ids of a text in Latin letters."""
+        merger, numbers = self.quick
+        pieces = _PIECES.findall(text.lower())
+        found = np.array(merger.encode_ordinary(" ".join(pieces) + " ") if pieces else [], np.int64)
+        return numbers[found].astype(self.kind).tobytes()
 
     def ids(self, text: str) -> bytes:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
@@ -87,10 +146,12 @@ class WordEncoder(Remembered):
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text."""
-        split = [None if any(s in t for s in self.special) else t.replace("\n", " ").split(" ") for t in texts]
+        # U+0130 becomes a letter and a mark, which joins the marks after it
+        whole = ["\u0130" in t or any(s in t for s in self.special) for t in texts]
+        split = [None if w or self.quick and _LATIN.fullmatch(t) else t.replace("\n", " ").split(" ") for w, t in zip(whole, texts)]
         self.learn(set().union(*filter(None, split)))
-        for text, words in zip(texts, split):
-            yield self.ids(text) if words is None else b"".join(map(self.__getitem__, words))
+        for text, w, words in zip(texts, whole, split):
+            yield self.ids(text) if w else self.merged(text) if words is None else b"".join(map(self.__getitem__, words))
 
     def runs(self, column: pa.Array, limit: int = 1 << 20) -> Iterator[bytes]:
         """The ids of each text of a column, encoded in runs of about ``limit`` characters; a longer

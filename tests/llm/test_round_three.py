@@ -264,3 +264,22 @@ def test_packing_of_awkward_rows(spark, monkeypatch):
     rows = pack(hot.repartition(6), BYTES, capacity=64).collect()
     n, tokens = check_packing(rows, [(r["doc_id"], r["text"]) for r in hot.collect()], 64, 0)
     assert n <= -(-tokens // 63) + 1
+
+
+def test_ranked_word_pieces_equal_the_library_s():
+    """Latin texts go to the ranked merger, others to the library; both give the library's ids."""
+    import pyarrow as pa
+    from quarry.llm.token_files import WordEncoder
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as f:
+        words = WordEncoder(f.read())
+    rng = random.Random(5)
+    letters = "abcdefgxyzABXYZ0123456789 .,!?'\"-()\n\t\réÀßñĀƀɏªº²¼¡«¿­×İıΣ中́ "
+    texts = ["", " ", "you're IT'S 'S x's", "a" * 3000, "end<|endoftext|> of", "İ, x", "naive-1234 café"]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(1000)]
+    want = [words.library.encode(t, add_special_tokens=False).ids for t in texts]
+    got = [np.frombuffer(b, words.kind).tolist() for b in words.runs(pa.array(texts))]
+    assert got == want
+    met = len(words)
+    list(words.runs(pa.array([f"w{i}" for i in range(500)])))
+    assert len(words) == met  # nothing is remembered for texts in Latin letters
