@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import kernels as K
@@ -195,6 +195,16 @@ def _links(size: int, percent: int):
     return run
 
 
+def _chosen(deep: DataFrame) -> DataFrame:
+    """(key, rep, n): of each row's regions on a path the shallowest that is small enough, else the deepest.
+
+    A window counts a region's rows where they meet: no join brings all the depths' rows together with their counts.
+    """
+    sized = deep.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    best = F.when(F.col("n") <= REGION, F.col("depth")).otherwise(100 - F.col("depth"))
+    return sized.groupBy("rep", "tree").agg(F.min_by(F.struct("key", "n"), best).alias("x")).select("x.key", "rep", "x.n")
+
+
 def _likely_pairs(reps: DataFrame, least: float) -> DataFrame:
     """(a, b): spanning pairs of representatives whose signatures nearly agree in a region."""
     rows = stored(reps.select("rep", "sig").mapInArrow(_base_rows, "key long, rep long, tree int"), "forest")
@@ -206,12 +216,7 @@ def _likely_pairs(reps: DataFrame, least: float) -> DataFrame:
         settled = met.select("key", "rep", "n")
     else:
         deep = stored(deep, "deeper")
-        sizes = deep.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        # the shallowest region that is small enough, else the deepest
-        best = F.when(F.col("n") <= REGION, F.col("depth")).otherwise(100 - F.col("depth"))
-        deepest = (deep.join(sizes, "key").groupBy("rep", "tree")
-                   .agg(F.min_by(F.struct("key", "n"), best).alias("x")).select("x.key", "rep", "x.n"))
-        settled = met.where(F.col("n") <= REGION).select("key", "rep", "n").unionByName(deepest).where("n > 1")
+        settled = met.where(F.col("n") <= REGION).select("key", "rep", "n").unionByName(_chosen(deep)).where("n > 1")
     settled = settled.join(reps.select("rep", "sig"), "rep")
     settled = in_blocks(settled, "rep", F.ceil(F.col("n") / REGION))
     return grouped(settled.select("key", "part", "rep", "sig"), ["key", "part"], _similar(least), "a long, b long")

@@ -617,6 +617,25 @@ def test_separate_pairs_in_a_template_crowd(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == true
 
 
+def test_regions_of_a_crowd_are_chosen_without_a_join(spark, monkeypatch):
+    from quarry.llm import near_dup
+    monkeypatch.setattr(near_dup, "REGION", 3)
+    rng = random.Random(3)
+    # nested regions: keys of depths 5 to 8 on two paths; rows that repeat are not in the table
+    rows = [(rep, tree, depth, hash((tree, paths[: depth - 4])))
+            for rep in range(60) for tree in (24, 48) for paths in [tuple(rng.randrange(3) for _ in range(4))] for depth in range(5, 9)]
+    sizes = Counter(key for *_, key in rows)
+    want = {}
+    for rep, tree, depth, key in rows:
+        want.setdefault((rep, tree), (key, sizes[key]))
+        if want[rep, tree][1] > 3:
+            want[rep, tree] = (key, sizes[key])
+    deep = spark.createDataFrame([(key, rep, tree, depth) for rep, tree, depth, key in rows], "key long, rep long, tree int, depth int")
+    got = near_dup._chosen(deep)
+    assert Counter((r["rep"], r["key"], r["n"]) for r in got.collect()) == Counter((rep, *x) for (rep, _), x in want.items())
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_groups_of_awkward_rows(spark):
     rows = awkward(spark)
     got = near_duplicates(rows).collect()
