@@ -497,6 +497,39 @@ def test_cluster_links_match_all_pairs():
     assert components_of(zip(links["a"].to_pylist(), links["b"].to_pylist())) == components_of(every) and len(every) > 100
 
 
+def test_lines_of_the_same_words_in_another_order_are_told_apart_cheaply(monkeypatch):
+    """Equal counts of letters and of their pairs: runs of 4 tell the lines apart, not a distance each."""
+    import pyarrow as pa
+
+    from quarry.llm import line_dedup
+    asked, whole = [], line_dedup._distance
+    monkeypatch.setattr(line_dedup, "_distance", lambda *x: asked.append(x) or whole(*x))
+    rng = random.Random(4)
+    words, texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(2)) for _ in range(80)], []
+    for _ in range(60):
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+    texts.append("zz " + texts[0])
+    zero = np.zeros(len(texts), np.int64)
+    links = line_dedup._alike(0.9)(pa.table({"h": np.arange(len(texts)), "s1": zero, "s2": zero, "text": texts}))
+    assert [set(x.values()) for x in links.to_pylist()] == [{0, 60}] and len(asked) < 20
+
+
+def test_edit_distance_of_long_lines_stops_at_the_limit():
+    rng = random.Random(8)
+    for size in (70, 130, 300, 900) * 12:
+        a = [rng.choice("abcd") for _ in range(size)]
+        b = list(a)
+        for _ in range(rng.randrange(0, size // 3)):
+            k = rng.randrange(len(b))
+            b[k : k + rng.randrange(2)] = rng.choice(["", "a", "b", "xy"])
+        a, b = "".join(a), "".join(b)
+        d = edit_distance(a, b)
+        for limit in (0, 1, d - 17, d - 1, d, d + 1, d + 40):
+            found = edit_distance(a, b, limit) if limit >= 0 else limit + 1
+            assert found == d if d <= limit else found > limit
+
+
 def test_lines_of_awkward_rows(spark):
     same = "The quick brown fox jumps over 12 lazy dogs and runs away from the farm into the wide open field"
     texts = [(3, f"{same}\nunique line number one here\n\n{same}"), (2, f"x\n{same.replace('12', '77').upper()}"), (4, None), (5, ""),
